@@ -29,7 +29,14 @@ from campaignlake.operators.raw import to_raw
 from campaignlake.operators.samples import raw_sample, roas_ranking, typed_sample
 from campaignlake.operators.typed import parse_event, parse_single_pass, parse_three_way, typed_events
 from campaignlake.plans.lake import Lake
-from campaignlake.schemas import METRICS_COLUMNS, RAW_COLUMNS, TYPED_COLUMNS
+from campaignlake.schemas import (
+    METRICS_COLUMNS,
+    METRICS_SCHEMA,
+    RAW_COLUMNS,
+    RAW_SCHEMA,
+    TYPED_COLUMNS,
+    TYPED_SCHEMA,
+)
 from campaignlake.sources.fixtures import kafka_records
 from campaignlake.sources.tables import read_table
 from campaignlake.streaming.layers import (
@@ -110,7 +117,7 @@ def q_typed_union_single_pass(spark, sf_dir):
 
 
 def q_typed_dedup(spark, sf_dir):
-    return typed_out(typed_events(Lake(spark, sf_dir).raw()))
+    return typed_out(typed_events(Lake(spark, sf_dir).raw(), single_pass=False))
 
 
 def q_typed_dedup_single_pass(spark, sf_dir):
@@ -225,14 +232,14 @@ def _stream_paths(spark, sf_dir) -> LayerPaths:
 def q_stream_raw(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     await_query(start_raw_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
-    return raw_out(read_table(spark, paths.raw, RAW_COLUMNS))
+    return raw_out(read_table(spark, paths.raw, RAW_COLUMNS, schema=RAW_SCHEMA))
 
 
 def q_stream_typed(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     await_query(start_raw_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
     await_query(start_typed_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
-    return typed_out(read_table(spark, paths.typed, TYPED_COLUMNS))
+    return typed_out(read_table(spark, paths.typed, TYPED_COLUMNS, schema=TYPED_SCHEMA))
 
 
 def q_stream_metrics(spark, sf_dir):
@@ -240,7 +247,7 @@ def q_stream_metrics(spark, sf_dir):
     await_query(start_raw_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
     await_query(start_typed_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
     build_metrics(spark, paths)
-    return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS))
+    return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
 
 
 def q_stream_progress(spark, sf_dir):

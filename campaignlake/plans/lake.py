@@ -20,7 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from campaignlake.operators.raw import to_raw
 from campaignlake.operators.typed import typed_events
-from campaignlake.schemas import RAW_COLUMNS, RAW_PARTITION_COLUMNS, TYPED_COLUMNS, TYPED_PARTITION_COLUMNS
+from campaignlake.schemas import (
+    EVENTS_SCHEMA,
+    RAW_COLUMNS,
+    RAW_PARTITION_COLUMNS,
+    RAW_SCHEMA,
+    TYPED_COLUMNS,
+    TYPED_PARTITION_COLUMNS,
+    TYPED_SCHEMA,
+)
 from campaignlake.session import path_exists, pin_session, scratch_path
 from campaignlake.sinks.tables import write_table
 from campaignlake.sources.fixtures import kafka_records
@@ -65,7 +73,7 @@ class Lake:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def events(self) -> DataFrame:
-        return self.table("events")
+        return self.spark.read.schema(EVENTS_SCHEMA).parquet(f"{self.sf_dir}/events.parquet")
 
     # -- paths ------------------------------------------------------------
     @cached_property
@@ -94,13 +102,13 @@ class Lake:
         """The raw table, partitioned by (event_date, event_type)."""
         if not self._ready(self.raw_path):
             write_table(to_raw(self.topic()), self.raw_path, partition_by=RAW_PARTITION_COLUMNS)
-        return read_table(self.spark, self.raw_path, RAW_COLUMNS)
+        return read_table(self.spark, self.raw_path, RAW_COLUMNS, schema=RAW_SCHEMA)
 
     def typed(self) -> DataFrame:
         """The typed, deduplicated table, partitioned by event_type."""
         if not self._ready(self.typed_path):
             write_table(typed_events(self.raw()), self.typed_path, partition_by=TYPED_PARTITION_COLUMNS)
-        return read_table(self.spark, self.typed_path, TYPED_COLUMNS)
+        return read_table(self.spark, self.typed_path, TYPED_COLUMNS, schema=TYPED_SCHEMA)
 
     def build(self) -> None:
         self.typed()

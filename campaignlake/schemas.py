@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BinaryType,
     BooleanType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -147,3 +149,56 @@ METRICS_PARTITION_COLUMNS = ["event_date"]
 
 # Lineage columns carried through the parse until dedup has chosen a survivor.
 LINEAGE_COLUMNS = ["eh_partition", "eh_offset"]
+
+
+def _typed_schema() -> StructType:
+    by_name = {f.name: f for f in SUPERSET_SCHEMA.fields}
+    by_name["ingested_at"] = StructField("ingested_at", TimestampType())
+    return StructType([by_name[c] for c in TYPED_COLUMNS])
+
+
+RAW_SCHEMA = StructType(
+    [
+        StructField("raw_payload", StringType()),
+        StructField("eh_topic", StringType()),
+        StructField("eh_partition", IntegerType()),
+        StructField("eh_offset", LongType()),
+        StructField("eh_enqueued_time", TimestampType()),
+        StructField("event_type", StringType()),
+        StructField("event_timestamp", StringType()),
+        StructField("campaign_id", StringType()),
+        StructField("event_date", DateType()),
+        StructField("ingested_at", TimestampType()),
+    ]
+)
+TYPED_SCHEMA = _typed_schema()
+METRICS_SCHEMA = StructType(
+    [
+        StructField("event_date", DateType()),
+        StructField("campaign_id", StringType()),
+        StructField("advertiser_id", StringType()),
+        StructField("impressions", LongType()),
+        StructField("viewable_impressions", LongType()),
+        StructField("clicks", LongType()),
+        StructField("conversions", LongType()),
+        StructField("revenue", DoubleType()),
+        StructField("items_sold", LongType()),
+        StructField("ctr", DoubleType()),
+        StructField("cvr", DoubleType()),
+        StructField("spend", DoubleType()),
+        StructField("roas", DoubleType()),
+        StructField("updated_at", TimestampType()),
+    ]
+)
+
+# The generic input table the fixture derives topic records from.
+EVENTS_SCHEMA = StructType(
+    [
+        StructField("event_id", LongType()),
+        StructField("ts", TimestampNTZType()),
+        StructField("user_id", LongType()),
+        StructField("event_type", StringType()),
+        StructField("value", DoubleType()),
+        StructField("props", StringType()),
+    ]
+)

@@ -18,12 +18,19 @@ def read_table(
     columns: list[str] | None = None,
     fmt: str = "parquet",
     merge_schema: bool = False,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """Batch scan of a layer table; ``merge_schema`` unions file schemas
-    (Parquet's read-side form of additive schema evolution)."""
+    """Batch scan of a layer table.
+
+    A declared ``schema`` (the layer's contract) skips schema inference,
+    which otherwise costs a footer-reading job per read; ``merge_schema``
+    instead unions file schemas (Parquet's read-side form of additive
+    schema evolution)."""
     reader = spark.read.format(fmt)
     if merge_schema and fmt == "parquet":
         reader = reader.option("mergeSchema", "true")
+    elif schema is not None and fmt != "delta":
+        reader = reader.schema(schema)
     df = reader.load(path)
     return df.select(*columns) if columns else df
 

@@ -21,40 +21,25 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
 from campaignlake.operators.dedup import dedup_stream
 from campaignlake.operators.metrics import campaign_metrics, campaign_metrics_single_pass
 from campaignlake.operators.raw import to_raw
 from campaignlake.operators.typed import parse_typed
 from campaignlake.schemas import (
-    KAFKA_SCHEMA,
     METRICS_COLUMNS,
     METRICS_PARTITION_COLUMNS,
     RAW_COLUMNS,
     RAW_PARTITION_COLUMNS,
+    RAW_SCHEMA,
     TYPED_COLUMNS,
     TYPED_PARTITION_COLUMNS,
+    TYPED_SCHEMA,
 )
 from campaignlake.sinks.tables import start_stream, write_table
 from campaignlake.sources.tables import read_table, read_table_stream
 from campaignlake.sources.topic import read_kafka_stream, read_records_stream
 
-RAW_SCHEMA = StructType(
-    [
-        StructField("raw_payload", StringType()),
-        StructField("eh_topic", StringType()),
-        StructField("eh_partition", KAFKA_SCHEMA["partition"].dataType),
-        StructField("eh_offset", KAFKA_SCHEMA["offset"].dataType),
-        StructField("eh_enqueued_time", TimestampType()),
-        StructField("event_type", StringType()),
-        StructField("event_timestamp", StringType()),
-        StructField("campaign_id", StringType()),
-        StructField("event_date", DateType()),
-        StructField("ingested_at", TimestampType()),
-    ]
-)
-
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STATE_CONF = "spark.sql.streaming.stateStore.providerClass"
 
@@ -168,7 +153,7 @@ def build_metrics(
     exact: bool = False,
 ) -> None:
     """Typed table -> metrics table, recomputed in full and overwritten."""
-    typed = read_table(spark, paths.typed, TYPED_COLUMNS, fmt=paths.fmt)
+    typed = read_table(spark, paths.typed, TYPED_COLUMNS, fmt=paths.fmt, schema=TYPED_SCHEMA)
     build = campaign_metrics_single_pass if single_pass else campaign_metrics
     metrics = build(typed, exact=exact).select(*METRICS_COLUMNS)
     write_table(
