@@ -53,6 +53,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed value: the clock the freshness report is evaluated against.
 FRESHNESS_AS_OF = "2024-01-31 00:00:00"
 STREAM_TIMEOUT_SECONDS = 1800
+# The stream queries replay a whole dataset (a backfill spanning every day):
+# salt the raw write so each (day, type) directory gets a couple of files.
+BACKFILL_SALT_BUCKETS = 2
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -231,20 +234,20 @@ def _stream_paths(spark, sf_dir) -> LayerPaths:
 
 def q_stream_raw(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
-    await_query(start_raw_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
+    await_query(start_raw_stream(spark, paths, salt_buckets=BACKFILL_SALT_BUCKETS), STREAM_TIMEOUT_SECONDS)
     return raw_out(read_table(spark, paths.raw, RAW_COLUMNS, schema=RAW_SCHEMA))
 
 
 def q_stream_typed(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
-    await_query(start_raw_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
+    await_query(start_raw_stream(spark, paths, salt_buckets=BACKFILL_SALT_BUCKETS), STREAM_TIMEOUT_SECONDS)
     await_query(start_typed_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
     return typed_out(read_table(spark, paths.typed, TYPED_COLUMNS, schema=TYPED_SCHEMA))
 
 
 def q_stream_metrics(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
-    await_query(start_raw_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
+    await_query(start_raw_stream(spark, paths, salt_buckets=BACKFILL_SALT_BUCKETS), STREAM_TIMEOUT_SECONDS)
     await_query(start_typed_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
     build_metrics(spark, paths)
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
@@ -252,7 +255,8 @@ def q_stream_metrics(spark, sf_dir):
 
 def q_stream_progress(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
-    progress = {"raw": await_query(start_raw_stream(spark, paths, max_files_per_trigger=1), STREAM_TIMEOUT_SECONDS)}
+    raw_q = start_raw_stream(spark, paths, max_files_per_trigger=4, salt_buckets=BACKFILL_SALT_BUCKETS)
+    progress = {"raw": await_query(raw_q, STREAM_TIMEOUT_SECONDS)}
     progress["typed"] = await_query(start_typed_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
     return progress_frame(spark, progress).select("layer", "batch_id", "num_input_rows")
 

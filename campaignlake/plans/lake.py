@@ -95,7 +95,11 @@ class Lake:
     def topic(self) -> DataFrame:
         """Kafka-shaped records of every event (the producer's output)."""
         if not self._ready(self.topic_path):
-            write_table(kafka_records(self.events()), self.topic_path, rebalance=False)
+            # like a topic's log segments: several files, split by partition
+            # and offset, so readers get parallel input
+            segments = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            records = kafka_records(self.events()).repartition(segments, "partition", "offset")
+            write_table(records, self.topic_path, rebalance=False)
         return read_records(self.spark, self.topic_path)
 
     def raw(self) -> DataFrame:

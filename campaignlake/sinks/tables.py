@@ -10,6 +10,7 @@ replaces the schema anyway.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 _DELTA_ONLY = {"mergeSchema", "overwriteSchema", "delta.enableChangeDataFeed"}
@@ -59,6 +60,15 @@ def write_table(
     writer.save(path)
 
 
+def salted_partitioning(df: DataFrame, partition_by: list[str], salt_cols: list[str], buckets: int) -> DataFrame:
+    """Shuffle rows so each table partition value lands in at most
+    ``buckets`` tasks: few files per partition directory, and a hot value is
+    still split ``buckets`` ways (deterministic salt, so a retried task
+    reproduces the same shuffle)."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(buckets))
+    return df.repartition(*[F.col(c) for c in partition_by], salt)
+
+
 def start_stream(
     df: DataFrame,
     path: str,
@@ -69,11 +79,16 @@ def start_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     query_name: str | None = None,
+    salt: tuple[list[str], int] | None = None,
 ) -> StreamingQuery:
     """Append-mode stream into a layer table with exactly-once progress
     tracked in ``checkpoint``.  ``available_now`` drains what is there and
     stops (the scheduled-batch mode); else ``processing_time`` runs it on a
-    timer."""
+    timer.  ``salt=(columns, buckets)`` applies :func:`salted_partitioning`
+    before a partitioned write (streams run without AQE, so the batch
+    ``rebalance`` cannot be used)."""
+    if salt and partition_by:
+        df = salted_partitioning(df, partition_by, salt[0], salt[1])
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")

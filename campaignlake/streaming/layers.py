@@ -88,9 +88,13 @@ def start_raw_stream(
     kafka: dict[str, str] | None = None,
     records_format: str = "parquet",
     max_files_per_trigger: int | None = None,
+    salt_buckets: int | None = None,
 ) -> StreamingQuery:
     """Topic -> raw table.  ``kafka`` options select the Kafka source; else
-    ``paths.source`` holds record files."""
+    ``paths.source`` holds record files.  ``salt_buckets`` bounds the files
+    per (event_date, event_type) directory of a micro-batch (useful for
+    backfills that span many days); by default rows are written where they
+    are read, with no shuffle."""
     if kafka:
         records = read_kafka_stream(spark, kafka)
     else:
@@ -102,7 +106,7 @@ def start_raw_stream(
         partition_by=RAW_PARTITION_COLUMNS,
         fmt=paths.fmt,
         options={"mergeSchema": "true"},
-        query_name=None,
+        salt=(["eh_partition", "eh_offset"], salt_buckets) if salt_buckets else None,
     )
 
 
@@ -188,10 +192,16 @@ def run_layers(
     exact: bool = False,
     timeout_seconds: float | None = None,
     max_files_per_trigger: int | None = None,
+    salt_buckets: int | None = None,
 ) -> LayerRun:
-    """raw, then typed, then metrics; each starts after the previous ended."""
+    """raw, then typed, then metrics; each starts after the previous ended.
+
+    For a backfill (many days in one run) pass ``salt_buckets`` (e.g. 2-8)
+    to keep the raw table's file count per directory bounded."""
     run = LayerRun()
-    raw_q = start_raw_stream(spark, paths, kafka, max_files_per_trigger=max_files_per_trigger)
+    raw_q = start_raw_stream(
+        spark, paths, kafka, max_files_per_trigger=max_files_per_trigger, salt_buckets=salt_buckets
+    )
     run.progress["raw"] = await_query(raw_q, timeout_seconds)
     typed_q = start_typed_stream(spark, paths, single_pass_parse, dedup)
     run.progress["typed"] = await_query(typed_q, timeout_seconds)
