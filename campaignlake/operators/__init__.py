@@ -12,6 +12,7 @@ from campaignlake.operators.funnel import (
     pseudonymized_users,
     user_activity,
     viewability_check,
+    with_campaign_dimension,
 )
 from campaignlake.operators.metrics import (
     aggregate_clicks,
@@ -66,4 +67,5 @@ __all__ = [
     "unmatched_activity",
     "user_activity",
     "viewability_check",
+    "with_campaign_dimension",
 ]

@@ -179,3 +179,20 @@ def campaign_dimension(typed: DataFrame) -> DataFrame:
         F.max(F.to_date("event_timestamp")).alias("last_day"),
         F.count("*").alias("events"),
     )
+
+
+def with_campaign_dimension(metrics: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Metrics rows with their campaign's span and advertiser count.
+
+    A plain left join on ``campaign_id``: the dimension has one row per
+    campaign, so Spark broadcasts it when its measured size is under the
+    broadcast threshold (AQE re-checks at run time) and sort-merges it
+    otherwise; no hint that would force a broadcast of an unbounded table.
+    """
+    dim = dimension.select(
+        "campaign_id",
+        F.col("advertisers").alias("campaign_advertisers"),
+        F.col("first_day").alias("campaign_first_day"),
+        F.col("last_day").alias("campaign_last_day"),
+    )
+    return metrics.join(dim, "campaign_id", "left")

@@ -219,6 +219,12 @@ def q_campaign_lookup(spark, sf_dir):
     return fn.campaign_dimension(Lake(spark, sf_dir).typed())
 
 
+def q_campaign_metrics_enriched(spark, sf_dir):
+    typed = Lake(spark, sf_dir).typed()
+    metrics = metrics_out(campaign_metrics(typed))
+    return fn.with_campaign_dimension(metrics, fn.campaign_dimension(typed))
+
+
 def q_freshness(spark, sf_dir):
     as_of = F.lit(FRESHNESS_AS_OF).cast("timestamp")
     out = freshness(Lake(spark, sf_dir).raw(), as_of=as_of).drop("max_ingest_delay_seconds")
@@ -295,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "funnel_orphans": q_funnel_orphans,
     "funnel_rates": q_funnel_rates,
     "campaign_lookup": q_campaign_lookup,
+    "campaign_metrics_enriched": q_campaign_metrics_enriched,
     "freshness": q_freshness,
     "stream_raw": q_stream_raw,
     "stream_typed": q_stream_typed,

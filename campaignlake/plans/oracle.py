@@ -360,6 +360,14 @@ ORACLE_SQL: dict[str, str] = {
         "min(CAST(event_timestamp AS DATE)) AS first_day, max(CAST(event_timestamp AS DATE)) AS last_day, "
         "count(*) AS events FROM typed GROUP BY 1"
     ),
+    "campaign_metrics_enriched": _q(
+        f"SELECT {_cols(['m.' + c for c in METRICS_OUT])}, d.campaign_advertisers, d.campaign_first_day, "
+        "d.campaign_last_day FROM metrics m LEFT JOIN ("
+        "SELECT campaign_id, count(DISTINCT advertiser_id) AS campaign_advertisers, "
+        "min(CAST(event_timestamp AS DATE)) AS campaign_first_day, "
+        "max(CAST(event_timestamp AS DATE)) AS campaign_last_day FROM typed GROUP BY 1) d "
+        "ON m.campaign_id = d.campaign_id"
+    ),
     "freshness": _q(
         "SELECT event_type, records, last_enqueued, " + sround("staleness", 3) + " AS staleness_minutes, "
         "staleness <= 30 AS within_sla FROM ("

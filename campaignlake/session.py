@@ -60,6 +60,14 @@ def pin_session(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def apply_storage_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set object-store access for this session (e.g. an account key or
+    OAuth settings under ``fs.<scheme>.*``), given by the caller from its
+    secret store; nothing is read from the environment here."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

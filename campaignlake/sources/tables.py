@@ -59,4 +59,4 @@ def read_table_stream(
 
 def describe_schema(df: DataFrame) -> str:
     """Tree form of the schema (what ``printSchema`` prints), as a value."""
-    return df._jdf.schema().treeString()
+    return df.schema.treeString()
