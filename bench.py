@@ -4,9 +4,13 @@
 
 1. the layer tables are built once in a fresh folder (topic -> raw -> typed),
    each step timed;
-2. each query runs 1 cold + ``BENCH_RUNS`` warm times; its time is the best
-   warm run.  Plans execute completely into the ``noop`` sink (nothing is
-   collected to the driver).
+2. each query runs 1 cold + ``BENCH_RUNS`` (default 3) warm times; its time
+   is the best warm run.  Plans execute completely into the ``noop`` sink
+   (nothing is collected to the driver);
+3. the streaming chain runs once more into a fresh folder to report input
+   rows/s per layer from the query progress;
+4. ratios of the alternative plans (three-way / single-pass parse, joined /
+   single-aggregation metrics) on the same rows.
 
 ``value`` is the sum of the per-query times.
 """
@@ -23,6 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from campaignlake.plans.catalog import QUERIES  # noqa: E402
 from campaignlake.plans.lake import Lake  # noqa: E402
 from campaignlake.session import build_session, scratch_path  # noqa: E402
+from campaignlake.streaming import LayerPaths, run_layers  # noqa: E402
 
 
 def _run(df) -> None:
@@ -32,7 +37,7 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    warm = int(os.environ.get("BENCH_RUNS", "2"))
+    warm = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(
         f"local[{cpus}]",
@@ -63,6 +68,28 @@ def main() -> None:
                 best = dt if best is None else min(best, dt)
         times[name] = round(best, 3)
 
+    ratios = {}
+    for label, slow, fast in (
+        ("parse_three_way_over_single_pass", "typed_union", "typed_union_single_pass"),
+        ("dedup_three_way_over_single_pass", "typed_dedup", "typed_dedup_single_pass"),
+        ("metrics_joined_over_single_pass", "campaign_metrics_exact", "campaign_metrics_single_pass"),
+    ):
+        if times.get(slow) and times.get(fast):
+            ratios[label] = round(times[slow] / times[fast], 3)
+
+    stream_rates = {}
+    if not only:
+        lake = Lake(spark, sf_dir)
+        paths = LayerPaths.under(scratch_path(spark, "bench", unique=True), source=lake.topic_path)
+        t0 = time.perf_counter()
+        run = run_layers(spark, paths, timeout_seconds=3600, salt_buckets=2)
+        stream_rates["chain_seconds"] = round(time.perf_counter() - t0, 3)
+        for layer, entries in run.progress.items():
+            rows = sum(int(p.get("numInputRows", 0)) for p in entries)
+            ms = sum(int((p.get("durationMs") or {}).get("triggerExecution", 0)) for p in entries)
+            stream_rates[f"{layer}_rows"] = rows
+            stream_rates[f"{layer}_rows_per_second"] = round(rows / (ms / 1000.0), 1) if ms else None
+
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(
         json.dumps(
@@ -72,6 +99,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "layers": layers,
+                "ratios": ratios,
+                "streaming": stream_rates,
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "cpus": int(cpus),
                 "spark": spark.version,

@@ -36,6 +36,7 @@ from campaignlake.sources.tables import read_table
 from campaignlake.sources.topic import read_records
 
 _PACKAGE_ROOT = Path(__file__).resolve().parent.parent
+SEGMENT_RECORDS = 5_000_000
 
 
 def _code_version() -> str:
@@ -95,11 +96,17 @@ class Lake:
     def topic(self) -> DataFrame:
         """Kafka-shaped records of every event (the producer's output)."""
         if not self._ready(self.topic_path):
-            # like a topic's log segments: several files, split by partition
-            # and offset, so readers get parallel input
-            segments = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            # like a topic's log segments: one file per core (split by
+            # partition and offset) so readers get parallel input, and no
+            # file above SEGMENT_RECORDS records
+            segments = self.spark.sparkContext.defaultParallelism
             records = kafka_records(self.events()).repartition(segments, "partition", "offset")
-            write_table(records, self.topic_path, rebalance=False)
+            write_table(
+                records,
+                self.topic_path,
+                rebalance=False,
+                options={"maxRecordsPerFile": str(SEGMENT_RECORDS)},
+            )
         return read_records(self.spark, self.topic_path)
 
     def raw(self) -> DataFrame:
