@@ -30,4 +30,6 @@ def event(event_type, event_id, ts="2024-01-01T10:00:00.000000+00:00", campaign=
 
 
 def rows(df, *cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    """Selected columns of every row, in a stable order (NULLs last)."""
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()),
+                  key=lambda t: [(v is None, str(v)) for v in t])
