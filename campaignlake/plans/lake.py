@@ -29,7 +29,7 @@ from campaignlake.schemas import (
     TYPED_PARTITION_COLUMNS,
     TYPED_SCHEMA,
 )
-from campaignlake.session import path_exists, pin_session, scratch_path
+from campaignlake.session import file_exists, pin_session, scratch_path
 from campaignlake.sinks.tables import write_table
 from campaignlake.sources.fixtures import kafka_records
 from campaignlake.sources.tables import read_table
@@ -90,7 +90,7 @@ class Lake:
         return f"{self.root}/typed"
 
     def _ready(self, path: str) -> bool:
-        return path_exists(self.spark, f"{path}/_SUCCESS")
+        return file_exists(self.spark, f"{path}/_SUCCESS")
 
     # -- layers -----------------------------------------------------------
     def topic(self) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -91,19 +90,16 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join(p.strip("/") if i else p for i, p in enumerate(pieces))
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def file_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file ``path`` exists, on whatever file system its URI names.
 
+    Uses the reader's own path check (a listing on the driver, no job), so
+    object stores and HDFS are handled exactly as a read would handle them.
+    """
+    from pyspark.errors import AnalysisException
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of ``path``."""
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    try:
+        spark.read.format("text").load(path)
+        return True
+    except AnalysisException:
+        return False
