@@ -36,8 +36,14 @@ def dedup_events(
     )
 
 
-def dedup_stream(df: DataFrame, key: str = "event_id", within_watermark: str | None = None,
-                 event_time: str = "event_timestamp") -> DataFrame:
+def dedup_stream(
+    df: DataFrame,
+    key: str = "event_id",
+    within_watermark: str | None = None,
+    event_time: str = "event_timestamp",
+    salt_buckets: int | None = None,
+    salt_cols: list[str] | None = None,
+) -> DataFrame:
     """Streaming dedup.
 
     Default is exact: every id ever seen is kept in the state store (use the
@@ -45,8 +51,20 @@ def dedup_stream(df: DataFrame, key: str = "event_id", within_watermark: str | N
     the checkpoint as its durable copy).  ``within_watermark`` (e.g.
     ``"48 hours"``) bounds the state instead: a copy arriving later than that
     after the first is no longer recognised.
+
+    A stateful dedup has no map-side step: all copies of an id in a batch go
+    to one task.  ``salt_buckets=k`` splits it in two chained exact dedups:
+    first by (id, salt of the copy's ``salt_cols``), which spreads a replay
+    storm of one id over k tasks and lets at most k copies of any id through
+    ever, then by id alone over those few.  The price is a second state
+    entry per id.
     """
     valid = df.where(F.col(key).isNotNull())
     if within_watermark:
         return valid.withWatermark(event_time, within_watermark).dropDuplicatesWithinWatermark([key])
+    if salt_buckets:
+        cols = salt_cols or LINEAGE_COLUMNS
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets))
+        first = valid.withColumn("__dedup_salt", salt).dropDuplicates([key, "__dedup_salt"])
+        return first.drop("__dedup_salt").dropDuplicates([key])
     return valid.dropDuplicates([key])

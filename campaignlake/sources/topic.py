@@ -27,16 +27,28 @@ def kafka_options(
     topic: str,
     security: dict[str, str] | None = None,
     group_id: str | None = None,
+    min_partitions: int | None = None,
+    max_offsets_per_trigger: int | None = None,
     **extra: str,
 ) -> dict[str, str]:
     """Options for ``format("kafka")``.  ``security`` carries e.g.
     ``kafka.security.protocol``, ``kafka.sasl.mechanism`` and
-    ``kafka.sasl.jaas.config`` built by the caller from its secret store."""
+    ``kafka.sasl.jaas.config`` built by the caller from its secret store.
+
+    Scale knobs: a topic with few partitions gives one Spark task per topic
+    partition; ``min_partitions`` (e.g. the cluster's core count) splits
+    offset ranges into more tasks.  ``max_offsets_per_trigger`` bounds each
+    micro-batch, which ``availableNow`` honours, so a large backlog drains
+    as several retryable batches instead of one."""
     opts = dict(DEFAULT_KAFKA_OPTIONS)
     opts["kafka.bootstrap.servers"] = bootstrap_servers
     opts["subscribe"] = topic
     if group_id:
         opts["kafka.group.id"] = group_id
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     opts.update(security or {})
     opts.update(extra)
     return opts

@@ -27,6 +27,7 @@ from campaignlake.operators.metrics import campaign_metrics, campaign_metrics_si
 from campaignlake.operators.raw import to_raw
 from campaignlake.operators.typed import parse_typed
 from campaignlake.schemas import (
+    LINEAGE_COLUMNS,
     METRICS_COLUMNS,
     METRICS_PARTITION_COLUMNS,
     RAW_COLUMNS,
@@ -117,14 +118,16 @@ def typed_stream(
     dedup: bool = True,
     within_watermark: str | None = None,
     max_files_per_trigger: int | None = None,
+    dedup_salt_buckets: int | None = None,
 ) -> DataFrame:
     """The typed layer as a streaming DataFrame over the raw table."""
     raw = read_table_stream(
         spark, paths.raw, RAW_SCHEMA, RAW_COLUMNS, fmt=paths.fmt, max_files_per_trigger=max_files_per_trigger
     )
-    parsed = parse_typed(raw, single_pass=single_pass)
+    carry = LINEAGE_COLUMNS if dedup_salt_buckets else None
+    parsed = parse_typed(raw, single_pass=single_pass, carry=carry)
     if dedup:
-        parsed = dedup_stream(parsed, within_watermark=within_watermark)
+        parsed = dedup_stream(parsed, within_watermark=within_watermark, salt_buckets=dedup_salt_buckets)
     return parsed.select(*TYPED_COLUMNS)
 
 
@@ -135,11 +138,12 @@ def start_typed_stream(
     dedup: bool = True,
     within_watermark: str | None = None,
     max_files_per_trigger: int | None = None,
+    dedup_salt_buckets: int | None = None,
 ) -> StreamingQuery:
     """Raw table -> typed table (exact dedup state in the checkpoint)."""
     if dedup and not within_watermark:
         _use_rocksdb_state(spark)
-    df = typed_stream(spark, paths, single_pass, dedup, within_watermark, max_files_per_trigger)
+    df = typed_stream(spark, paths, single_pass, dedup, within_watermark, max_files_per_trigger, dedup_salt_buckets)
     return start_stream(
         df,
         paths.typed,

@@ -21,6 +21,9 @@ def test_kafka_options_defaults_and_pass_through():
     assert o["startingOffsets"] == "earliest" and o["failOnDataLoss"] == "false"
     assert o["kafka.request.timeout.ms"] == "60000" and o["kafka.session.timeout.ms"] == "60000"
     assert o["kafka.security.protocol"] == "SASL_SSL" and o["kafka.group.id"] == "g1"
+    assert "minPartitions" not in o
+    scaled = kafka_options("host:9093", "ad-events", min_partitions=4000, max_offsets_per_trigger=50_000_000)
+    assert scaled["minPartitions"] == "4000" and scaled["maxOffsetsPerTrigger"] == "50000000"
 
 
 def test_record_files_round_trip(spark, scratch):

@@ -71,3 +71,18 @@ def test_bounded_dedup_state_option(spark, scratch):
     await_query(start_raw_stream(spark, paths), 600)
     await_query(start_typed_stream(spark, paths, within_watermark="1 hour"), 600)
     assert read_table(spark, paths.typed).count() == 2
+
+
+def test_salted_stream_dedup_is_exact_across_runs(spark, scratch):
+    src = f"{scratch}/source"
+    paths = LayerPaths.under(scratch, source=src)
+    hot = event("click", "e_hot")
+    records(spark, [hot] * 40 + [event("click", f"e_{i}") for i in range(5)]).write.parquet(src)
+    await_query(start_raw_stream(spark, paths), 600)
+    await_query(start_typed_stream(spark, paths, dedup_salt_buckets=4), 600)
+    records(spark, [hot] * 10 + [event("click", "e_new")], start_offset=500).write.mode("append").parquet(src)
+    await_query(start_raw_stream(spark, paths), 600)
+    await_query(start_typed_stream(spark, paths, dedup_salt_buckets=4), 600)
+    typed = read_table(spark, paths.typed)
+    assert typed.count() == 7
+    assert typed.select("event_id").distinct().count() == 7
