@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from functools import cached_property
 from pathlib import Path
 
@@ -36,6 +37,7 @@ from campaignlake.sources.tables import read_table
 from campaignlake.sources.topic import read_records
 
 _PACKAGE_ROOT = Path(__file__).resolve().parent.parent
+_BUILD_LOCK = threading.RLock()
 SEGMENT_RECORDS = 5_000_000
 
 
@@ -92,10 +94,20 @@ class Lake:
     def _ready(self, path: str) -> bool:
         return file_exists(self.spark, f"{path}/_SUCCESS")
 
+    def _ensure(self, path: str, write) -> None:
+        """Run ``write`` unless the table at ``path`` is complete.  Builds in
+        one driver are serialized, so concurrent callers never both write."""
+        if self._ready(path):
+            return
+        with _BUILD_LOCK:
+            if not self._ready(path):
+                write()
+
     # -- layers -----------------------------------------------------------
     def topic(self) -> DataFrame:
         """Kafka-shaped records of every event (the producer's output)."""
-        if not self._ready(self.topic_path):
+
+        def write():
             # like a topic's log segments: one file per core (split by
             # partition and offset) so readers get parallel input, and no
             # file above SEGMENT_RECORDS records
@@ -107,18 +119,24 @@ class Lake:
                 rebalance=False,
                 options={"maxRecordsPerFile": str(SEGMENT_RECORDS)},
             )
+
+        self._ensure(self.topic_path, write)
         return read_records(self.spark, self.topic_path)
 
     def raw(self) -> DataFrame:
         """The raw table, partitioned by (event_date, event_type)."""
-        if not self._ready(self.raw_path):
-            write_table(to_raw(self.topic()), self.raw_path, partition_by=RAW_PARTITION_COLUMNS)
+        self._ensure(
+            self.raw_path,
+            lambda: write_table(to_raw(self.topic()), self.raw_path, partition_by=RAW_PARTITION_COLUMNS),
+        )
         return read_table(self.spark, self.raw_path, RAW_COLUMNS, schema=RAW_SCHEMA)
 
     def typed(self) -> DataFrame:
         """The typed, deduplicated table, partitioned by event_type."""
-        if not self._ready(self.typed_path):
-            write_table(typed_events(self.raw()), self.typed_path, partition_by=TYPED_PARTITION_COLUMNS)
+        self._ensure(
+            self.typed_path,
+            lambda: write_table(typed_events(self.raw()), self.typed_path, partition_by=TYPED_PARTITION_COLUMNS),
+        )
         return read_table(self.spark, self.typed_path, TYPED_COLUMNS, schema=TYPED_SCHEMA)
 
     def build(self) -> None:
