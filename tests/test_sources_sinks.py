@@ -62,3 +62,14 @@ def test_scratch_lives_under_checkpoint_root(spark):
     root = checkpoint_root(spark)
     assert root and scratch_path(spark, "a").startswith(root)
     assert scratch_path(spark, "a", unique=True) != scratch_path(spark, "a", unique=True)
+
+
+def test_additive_schema_evolution_on_append(spark, scratch):
+    path = f"{scratch}/evolving"
+    v1 = spark.createDataFrame([("e_1", "click")], "event_id string, event_type string")
+    v2 = spark.createDataFrame([("e_2", "click", "web")], "event_id string, event_type string, channel string")
+    write_table(v1, path, mode="append")
+    write_table(v2, path, mode="append")
+    merged = read_table(spark, path, merge_schema=True)
+    assert set(merged.columns) == {"event_id", "event_type", "channel"}
+    assert sorted((r.event_id, r.channel) for r in merged.collect()) == [("e_1", None), ("e_2", "web")]

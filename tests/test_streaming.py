@@ -86,3 +86,14 @@ def test_salted_stream_dedup_is_exact_across_runs(spark, scratch):
     typed = read_table(spark, paths.typed)
     assert typed.count() == 7
     assert typed.select("event_id").distinct().count() == 7
+
+
+def test_failing_layer_stops_the_chain(spark, scratch):
+    import os
+
+    import pytest
+
+    paths = LayerPaths.under(scratch, source=f"{scratch}/no-such-topic")
+    with pytest.raises(Exception):
+        run_layers(spark, paths, timeout_seconds=300)
+    assert not os.path.exists(paths.typed) and not os.path.exists(paths.metrics)
