@@ -160,7 +160,11 @@ def build_metrics(
     single_pass: bool = False,
     exact: bool = False,
 ) -> None:
-    """Typed table -> metrics table, recomputed in full and overwritten."""
+    """Typed table -> metrics table, recomputed in full and overwritten.
+
+    With ``fmt="delta"`` the overwrite is one atomic commit; a Parquet
+    overwrite replaces files in place, so readers should not query the
+    metrics table while it is being rebuilt."""
     typed = read_table(spark, paths.typed, TYPED_COLUMNS, fmt=paths.fmt, schema=TYPED_SCHEMA)
     build = campaign_metrics_single_pass if single_pass else campaign_metrics
     metrics = build(typed, exact=exact).select(*METRICS_COLUMNS)
@@ -197,17 +201,20 @@ def run_layers(
     timeout_seconds: float | None = None,
     max_files_per_trigger: int | None = None,
     salt_buckets: int | None = None,
+    dedup_salt_buckets: int | None = None,
 ) -> LayerRun:
     """raw, then typed, then metrics; each starts after the previous ended.
 
     For a backfill (many days in one run) pass ``salt_buckets`` (e.g. 2-8)
-    to keep the raw table's file count per directory bounded."""
+    to keep the raw table's file count per directory bounded;
+    ``dedup_salt_buckets`` protects the typed stream against a replay storm
+    of one event id (see :func:`campaignlake.operators.dedup.dedup_stream`)."""
     run = LayerRun()
     raw_q = start_raw_stream(
         spark, paths, kafka, max_files_per_trigger=max_files_per_trigger, salt_buckets=salt_buckets
     )
     run.progress["raw"] = await_query(raw_q, timeout_seconds)
-    typed_q = start_typed_stream(spark, paths, single_pass_parse, dedup)
+    typed_q = start_typed_stream(spark, paths, single_pass_parse, dedup, dedup_salt_buckets=dedup_salt_buckets)
     run.progress["typed"] = await_query(typed_q, timeout_seconds)
     build_metrics(spark, paths, single_pass=single_pass_metrics, exact=exact)
     return run
