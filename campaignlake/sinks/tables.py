@@ -66,7 +66,10 @@ def salted_partitioning(df: DataFrame, partition_by: list[str], salt_cols: list[
     still split ``buckets`` ways (deterministic salt, so a retried task
     reproduces the same shuffle)."""
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(buckets))
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+    # one task per core: streams cannot coalesce partitions at run time (no
+    # AQE), so the shuffle-partition default would be a guess either way
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks, *[F.col(c) for c in partition_by], salt)
 
 
 def start_stream(
