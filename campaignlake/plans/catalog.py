@@ -43,6 +43,7 @@ from campaignlake.streaming.layers import (
     LayerPaths,
     await_query,
     build_metrics,
+    run_layers,
     start_raw_stream,
     start_typed_stream,
 )
@@ -259,6 +260,13 @@ def q_stream_metrics(spark, sf_dir):
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
 
 
+def q_stream_metrics_incremental(spark, sf_dir):
+    paths = _stream_paths(spark, sf_dir)
+    run_layers(spark, paths, timeout_seconds=STREAM_TIMEOUT_SECONDS, salt_buckets=BACKFILL_SALT_BUCKETS,
+               incremental_metrics=True)
+    return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
+
+
 def q_stream_progress(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     raw_q = start_raw_stream(spark, paths, max_files_per_trigger=4, salt_buckets=BACKFILL_SALT_BUCKETS)
@@ -306,5 +314,6 @@ QUERIES: dict[str, Query] = {
     "stream_raw": q_stream_raw,
     "stream_typed": q_stream_typed,
     "stream_metrics": q_stream_metrics,
+    "stream_metrics_incremental": q_stream_metrics_incremental,
     "stream_progress": q_stream_progress,
 }

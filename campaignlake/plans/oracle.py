@@ -379,3 +379,4 @@ ORACLE_SQL: dict[str, str] = {
 ORACLE_SQL["stream_raw"] = ORACLE_SQL["raw_projection"]
 ORACLE_SQL["stream_typed"] = ORACLE_SQL["typed_dedup"]
 ORACLE_SQL["stream_metrics"] = ORACLE_SQL["campaign_metrics"]
+ORACLE_SQL["stream_metrics_incremental"] = ORACLE_SQL["campaign_metrics"]

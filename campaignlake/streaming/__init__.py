@@ -6,6 +6,7 @@ from campaignlake.streaming.layers import (
     LayerRun,
     await_query,
     build_metrics,
+    refresh_metrics,
     run_layers,
     start_raw_stream,
     start_typed_stream,
@@ -21,6 +22,7 @@ __all__ = [
     "batches_with_data",
     "build_metrics",
     "progress_frame",
+    "refresh_metrics",
     "run_layers",
     "start_raw_stream",
     "start_typed_stream",
