@@ -20,6 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StructField, StructType
 
@@ -232,7 +233,25 @@ def refresh_metrics(
     spark.createDataFrame([], DIRTY_DAYS_SCHEMA).write.mode("append").format("parquet").save(paths.dirty_days)
     _record_dirty_days(spark, paths, timeout_seconds)
     dirty = read_table(spark, paths.dirty_days, schema=DIRTY_DAYS_SCHEMA).distinct()
-    typed = read_table(spark, paths.typed, TYPED_COLUMNS, fmt=paths.fmt, schema=TYPED_SCHEMA)
+    # one-row summary of the (small) day set: its span becomes a literal
+    # range on event_timestamp that Parquet row-group statistics can use to
+    # skip files outside it (typed files are appended in time order)
+    span = dirty.agg(
+        F.min("event_date").alias("lo"),
+        F.max("event_date").alias("hi"),
+        F.count_if(F.col("event_date").isNull()).alias("undated"),
+    ).first()
+    if span["lo"] is None and not span["undated"]:
+        return
+    ts = F.col("event_timestamp")
+    in_span = F.lit(False)
+    if span["lo"] is not None:
+        lo = F.lit(span["lo"]).cast("timestamp")
+        hi = F.date_add(F.lit(span["hi"]), 1).cast("timestamp")
+        in_span = (ts >= lo) & (ts < hi)
+    if span["undated"]:
+        in_span = in_span | ts.isNull()
+    typed = read_table(spark, paths.typed, TYPED_COLUMNS, fmt=paths.fmt, schema=TYPED_SCHEMA).where(in_span)
     day = event_day("event_timestamp")
     scoped = typed.join(dirty, day.eqNullSafe(dirty["event_date"]), "left_semi")
     build = campaign_metrics_single_pass if single_pass else campaign_metrics
