@@ -4,6 +4,7 @@ from campaignlake.operators.carry import last_prior_values
 from campaignlake.operators.dedup import dedup_events, dedup_stream
 from campaignlake.operators.freshness import freshness
 from campaignlake.operators.funnel import (
+    advertiser_conflicts,
     campaign_dimension,
     funnel_linkage,
     funnel_orphans,
@@ -35,6 +36,7 @@ from campaignlake.operators.typed import (
 )
 
 __all__ = [
+    "advertiser_conflicts",
     "aggregate_clicks",
     "aggregate_conversions",
     "aggregate_impressions",

@@ -196,3 +196,18 @@ def with_campaign_dimension(metrics: DataFrame, dimension: DataFrame) -> DataFra
         F.col("last_day").alias("campaign_last_day"),
     )
     return metrics.join(dim, "campaign_id", "left")
+
+
+def advertiser_conflicts(typed: DataFrame) -> DataFrame:
+    """(campaign, day) keys whose impressions carry more than one advertiser.
+
+    The metrics join attaches a campaign-day's clicks and conversions to every
+    advertiser row of that key, so each row listed here is double counted in
+    campaign totals.  Empty when each campaign has one advertiser.
+    """
+    imp = typed.filter(F.col("event_type") == "impression")
+    return (
+        imp.groupBy("campaign_id", F.to_date("event_timestamp").alias("event_date"))
+        .agg(F.count_distinct("advertiser_id").alias("advertisers"), F.count("*").alias("impressions"))
+        .where(F.col("advertisers") > 1)
+    )

@@ -220,6 +220,10 @@ def q_campaign_lookup(spark, sf_dir):
     return fn.campaign_dimension(Lake(spark, sf_dir).typed())
 
 
+def q_advertiser_conflicts(spark, sf_dir):
+    return fn.advertiser_conflicts(Lake(spark, sf_dir).typed())
+
+
 def q_campaign_metrics_enriched(spark, sf_dir):
     typed = Lake(spark, sf_dir).typed()
     metrics = metrics_out(campaign_metrics(typed))
@@ -310,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "funnel_rates": q_funnel_rates,
     "campaign_lookup": q_campaign_lookup,
     "campaign_metrics_enriched": q_campaign_metrics_enriched,
+    "advertiser_conflicts": q_advertiser_conflicts,
     "freshness": q_freshness,
     "stream_raw": q_stream_raw,
     "stream_typed": q_stream_typed,

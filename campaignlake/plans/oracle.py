@@ -368,6 +368,11 @@ ORACLE_SQL: dict[str, str] = {
         "max(CAST(event_timestamp AS DATE)) AS campaign_last_day FROM typed GROUP BY 1) d "
         "ON m.campaign_id = d.campaign_id"
     ),
+    "advertiser_conflicts": _q(
+        "SELECT campaign_id, CAST(event_timestamp AS DATE) AS event_date, "
+        "count(DISTINCT advertiser_id) AS advertisers, count(*) AS impressions "
+        "FROM typed WHERE event_type = 'impression' GROUP BY 1, 2 HAVING count(DISTINCT advertiser_id) > 1"
+    ),
     "freshness": _q(
         "SELECT event_type, records, last_enqueued, " + sround("staleness", 3) + " AS staleness_minutes, "
         "staleness <= 30 AS within_sla FROM ("

@@ -114,6 +114,18 @@ def test_two_advertisers_share_clicks_and_revenue(spark):
         assert got == [("adv_a", 1, 1, 1, 5.0), ("adv_b", 1, 1, 1, 5.0)]
 
 
+def test_advertiser_conflicts_flag_double_counted_keys(spark):
+    from campaignlake.operators import advertiser_conflicts
+
+    ps = [
+        event("impression", "i1", advertiser="adv_a"),
+        event("impression", "i2", advertiser="adv_b"),
+        event("impression", "i3", campaign="camp_2"),
+    ]
+    got = rows(advertiser_conflicts(_typed(spark, ps)), "campaign_id", "advertisers", "impressions")
+    assert got == [("camp_1", 2, 2)]
+
+
 def test_clicks_without_impressions_are_dropped_and_reported(spark):
     ps = [event("impression", "i1", campaign="camp_1"), event("click", "c1", campaign="camp_2")]
     typed = _typed(spark, ps)
