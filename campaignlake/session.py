@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     # Exact stream dedup keeps one key per event id: keep that state off-heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # each batch uploads the changed keys, not a snapshot of all of them
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -46,6 +46,7 @@ from campaignlake.sources.topic import read_kafka_stream, read_records_stream
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STATE_CONF = "spark.sql.streaming.stateStore.providerClass"
+_CHANGELOG_CONF = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 @dataclass
@@ -88,6 +89,7 @@ class LayerRun:
 def _use_rocksdb_state(spark: SparkSession) -> None:
     if not spark.conf.get(_STATE_CONF, None):
         spark.conf.set(_STATE_CONF, _ROCKSDB)
+        spark.conf.set(_CHANGELOG_CONF, "true")
 
 
 def start_raw_stream(
