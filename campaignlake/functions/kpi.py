@@ -1,6 +1,6 @@
 """Campaign KPI formulas.
 
-Formulas as the metrics notebook writes them: ``round`` HALF_UP, spend from
+Formulas of the metrics layer: ``round`` HALF_UP, spend from
 the rounded product, ROAS over the rounded spend and over 1 when there was no
 spend.
 

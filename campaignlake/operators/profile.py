@@ -1,5 +1,5 @@
-"""Data profiles of the layers (the inspection cells of the notebooks, as
-DataFrames a caller can show, test or store)."""
+"""Data profiles of the layers, as DataFrames a caller can show, test or
+store."""
 
 from __future__ import annotations
 

@@ -1,5 +1,5 @@
-"""The layer tables of one dataset, built once and then read like the
-reference's notebooks read them (each layer from the table below it).
+"""The layer tables of one dataset, built once; each layer is read from the
+table below it.
 
 ``events`` -> topic records -> raw table -> typed table.  Each table is a
 Spark write to a folder under the cluster's shared checkpoint root, keyed by

@@ -1,7 +1,7 @@
 """The event topic as a source: Kafka when the connector is present, else
 files holding records of the same shape.
 
-Kafka options follow the raw notebook: read from the earliest offset, do not
+Kafka options of the raw layer: read from the earliest offset, do not
 fail when retention removed data, 60 s request/session timeouts.  Transport
 security (SASL/TLS) is given by the caller as ``kafka.*`` options; no secret
 is read or stored here.

@@ -69,8 +69,8 @@ def test_timestamp_without_microseconds_parses(spark):
 def test_near_midnight_dates_agree_in_utc(spark):
     p = event("impression", "e_1", ts="2024-01-02T01:30:00+00:00")
     raw_date = to_raw(records(spark, [p])).first().event_date.isoformat()
-    gold_date = campaign_metrics(_typed(spark, [p])).first().event_date.isoformat()
-    assert raw_date == gold_date == "2024-01-02"
+    metrics_date = campaign_metrics(_typed(spark, [p])).first().event_date.isoformat()
+    assert raw_date == metrics_date == "2024-01-02"
 
 
 def test_near_midnight_dates_split_outside_utc(spark):
@@ -80,11 +80,11 @@ def test_near_midnight_dates_split_outside_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
     try:
         raw_date = to_raw(records(spark, [p])).first().event_date.isoformat()
-        gold_date = campaign_metrics(typed).first().event_date.isoformat()
+        metrics_date = campaign_metrics(typed).first().event_date.isoformat()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         typed.unpersist()
-    assert (raw_date, gold_date) == ("2024-01-02", "2024-01-01")
+    assert (raw_date, metrics_date) == ("2024-01-02", "2024-01-01")
 
 
 def test_wrongly_typed_fields_become_null(spark):
