@@ -37,6 +37,8 @@ KAFKA_SCHEMA = StructType(
     ]
 )
 
+# The event wire schemas, the fields every event carries and
+# the fields of each event type, with their types.
 COMMON_FIELDS = [
     StructField("event_id", StringType()),
     StructField("event_type", StringType()),
