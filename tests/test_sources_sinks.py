@@ -8,7 +8,7 @@ from helpers import event
 
 from campaignlake.operators import to_raw
 from campaignlake.schemas import KAFKA_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
-from campaignlake.session import apply_storage_conf, checkpoint_root, scratch_path
+from campaignlake.session import apply_storage_conf, checkpoint_root, scale_conf, scratch_path
 from campaignlake.sinks import write_table
 from campaignlake.sources import kafka_options, read_records, read_table
 from campaignlake.sources.tables import describe_schema
@@ -73,3 +73,11 @@ def test_additive_schema_evolution_on_append(spark, scratch):
     merged = read_table(spark, path, merge_schema=True)
     assert set(merged.columns) == {"event_id", "event_type", "channel"}
     assert sorted((r.event_id, r.channel) for r in merged.collect()) == [("e_1", None), ("e_2", "web")]
+
+
+def test_scale_conf_sizes_partitions_to_the_data():
+    tb100 = scale_conf(100 * 1024**4, cores=8000)
+    assert tb100["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // (256 * 1024**2))
+    assert tb100["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
+    small = scale_conf(10 * 1024**2, cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"  # two waves of tasks on 8 cores
