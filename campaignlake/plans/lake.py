@@ -135,7 +135,12 @@ class Lake:
         """The typed, deduplicated table, partitioned by event_type."""
         self._ensure(
             self.typed_path,
-            lambda: write_table(typed_events(self.raw()), self.typed_path, partition_by=TYPED_PARTITION_COLUMNS),
+            lambda: write_table(
+                typed_events(self.raw()),
+                self.typed_path,
+                partition_by=TYPED_PARTITION_COLUMNS,
+                cluster_by=["event_timestamp"],
+            ),
         )
         return read_table(self.spark, self.typed_path, TYPED_COLUMNS, schema=TYPED_SCHEMA)
 

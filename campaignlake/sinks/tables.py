@@ -39,6 +39,7 @@ def write_table(
     options: dict[str, str] | None = None,
     rebalance: bool = True,
     source_paths: list[str] | None = None,
+    cluster_by: list[str] | None = None,
 ) -> None:
     """Batch write of a layer table.
 
@@ -47,6 +48,10 @@ def write_table(
     gets a few right-sized files: no file explosion from every task writing
     every partition, and no single task writing a hot partition.
 
+    ``cluster_by`` sorts rows within each task before writing, so Parquet
+    row-group min/max statistics on those columns are narrow and a range
+    predicate (e.g. a time window) skips most of the table.
+
     Refuses to overwrite a path the plan reads from (``source_paths``):
     a Parquet overwrite deletes its own input before reading it.
     """
@@ -54,6 +59,10 @@ def write_table(
         raise ValueError(f"refusing to overwrite {path}: it is also an input of this plan")
     if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
+    if cluster_by:
+        # a per-task sort (no shuffle): row groups then cover narrow ranges
+        # of these columns, so range filters skip them by their statistics
+        df = df.sortWithinPartitions(*(partition_by or []), *cluster_by)
     writer = df.write.format(fmt).mode(mode).options(**_options(fmt, options))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
