@@ -213,38 +213,27 @@ def _record_dirty_days(spark: SparkSession, paths: LayerPaths, timeout_seconds:
     await_query(query, timeout_seconds)
 
 
-def refresh_metrics(
+def dirty_day_metrics(
     spark: SparkSession,
     paths: LayerPaths,
     single_pass: bool = False,
     exact: bool = False,
-    timeout_seconds: float | None = None,
-) -> None:
-    """Bring the metrics table up to date by recomputing only the days that
-    received typed rows since the last refresh.
+) -> DataFrame | None:
+    """Metrics rows of the days recorded as dirty, or None when there are none.
 
-    A day's metrics depend only on that day's events, so this gives the same
-    table as :func:`build_metrics` while reading and writing far less on a
-    table that grows every run: the affected days (a small set, broadcast
-    when Spark's size check allows) select the typed rows by semi-join, and
-    only their ``event_date`` partitions are replaced (dynamic partition
-    overwrite).  The dirty-day set is cleared only after the metrics write
-    succeeded; after a crash the same days are simply recomputed.
+    The typed scan is limited to the dirty days' time span by a literal
+    ``event_timestamp`` range (taken from a one-row summary of the small day
+    set), which Parquet row-group statistics use to skip files outside it;
+    a semi-join then keeps exactly the dirty days.
     """
-    # an empty append creates the dirty-day table on a first run
-    spark.createDataFrame([], DIRTY_DAYS_SCHEMA).write.mode("append").format("parquet").save(paths.dirty_days)
-    _record_dirty_days(spark, paths, timeout_seconds)
     dirty = read_table(spark, paths.dirty_days, schema=DIRTY_DAYS_SCHEMA).distinct()
-    # one-row summary of the (small) day set: its span becomes a literal
-    # range on event_timestamp that Parquet row-group statistics can use to
-    # skip files outside it (typed files are appended in time order)
     span = dirty.agg(
         F.min("event_date").alias("lo"),
         F.max("event_date").alias("hi"),
         F.count_if(F.col("event_date").isNull()).alias("undated"),
     ).first()
     if span["lo"] is None and not span["undated"]:
-        return
+        return None
     ts = F.col("event_timestamp")
     in_span = F.lit(False)
     if span["lo"] is not None:
@@ -254,10 +243,34 @@ def refresh_metrics(
     if span["undated"]:
         in_span = in_span | ts.isNull()
     typed = read_table(spark, paths.typed, TYPED_COLUMNS, fmt=paths.fmt, schema=TYPED_SCHEMA).where(in_span)
-    day = event_day("event_timestamp")
-    scoped = typed.join(dirty, day.eqNullSafe(dirty["event_date"]), "left_semi")
+    scoped = typed.join(dirty, event_day("event_timestamp").eqNullSafe(dirty["event_date"]), "left_semi")
     build = campaign_metrics_single_pass if single_pass else campaign_metrics
-    metrics = build(scoped, exact=exact).select(*METRICS_COLUMNS)
+    return build(scoped, exact=exact).select(*METRICS_COLUMNS)
+
+
+def refresh_metrics(
+    spark: SparkSession,
+    paths: LayerPaths,
+    single_pass: bool = False,
+    exact: bool = False,
+    timeout_seconds: float | None = None,
+) -> None:
+    """Bring the metrics table up to date by recomputing only the days that
+    received typed rows since the last refresh.
+
+    A day's metrics depend only on that day's events, so this gives the same
+    table as :func:`build_metrics` while reading and writing far less on a
+    table that grows every run (see :func:`dirty_day_metrics`); only the
+    dirty days' ``event_date`` partitions are replaced (dynamic partition
+    overwrite).  The dirty-day set is cleared only after the metrics write
+    succeeded; after a crash the same days are simply recomputed.
+    """
+    # an empty append creates the dirty-day table on a first run
+    spark.createDataFrame([], DIRTY_DAYS_SCHEMA).write.mode("append").format("parquet").save(paths.dirty_days)
+    _record_dirty_days(spark, paths, timeout_seconds)
+    metrics = dirty_day_metrics(spark, paths, single_pass, exact)
+    if metrics is None:
+        return
     write_table(
         metrics,
         paths.metrics,

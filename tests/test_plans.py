@@ -66,3 +66,22 @@ def test_carry_shuffles_rows_once(spark):
     row_side = [line for line in p.splitlines() if "Exchange hashpartitioning(user_id" in line]
     assert any("__carry_bucket" in line for line in row_side)
     assert sum("FileScan parquet" in line and "props" in line for line in p.splitlines()) == 1
+
+
+def test_incremental_refresh_reads_only_the_dirty_span(spark, scratch):
+    from campaignlake.streaming.layers import DIRTY_DAYS_SCHEMA, LayerPaths, dirty_day_metrics
+    import datetime as dt
+
+    lake = Lake(spark, SF_SMALL)
+    lake.typed()
+    paths = LayerPaths.under(scratch, source=lake.topic_path)
+    paths.typed = lake.typed_path
+    days = [(dt.date(2024, 1, 5),), (dt.date(2024, 1, 7),)]
+    spark.createDataFrame(days, DIRTY_DAYS_SCHEMA).write.parquet(paths.dirty_days)
+    metrics = dirty_day_metrics(spark, paths)
+    pushed = [line for line in plan(metrics).splitlines() if line.startswith("PushedFilters")]
+    typed_scans = [line for line in pushed if "event_timestamp" in line]
+    assert len(typed_scans) == 3  # impressions, clicks, conversions
+    for line in typed_scans:
+        assert "GreaterThanOrEqual(event_timestamp,2024-01-05" in line and "LessThan(event_timestamp,2024-01-08" in line
+    assert {r.event_date for r in metrics.select("event_date").distinct().collect()} == {d for (d,) in days}
