@@ -125,3 +125,16 @@ def test_incremental_metrics_equal_full_recompute(spark, scratch):
     run_layers(spark, paths, timeout_seconds=600, incremental_metrics=True)
     assert read_table(spark, paths.dirty_days).count() == 0
     _same(read_table(spark, paths.metrics).select(*cols), campaign_metrics(typed_all).select(*cols))
+
+
+def test_three_way_stream_equals_single_pass_stream(spark, scratch):
+    lake = Lake(spark, SF_SMALL)
+    lake.topic()
+    out = {}
+    for single in (True, False):
+        paths = LayerPaths.under(f"{scratch}/{single}", source=lake.topic_path)
+        await_query(start_raw_stream(spark, paths), 600)
+        await_query(start_typed_stream(spark, paths, single_pass=single), 600)
+        out[single] = read_table(spark, paths.typed, TYPED_COLUMNS, schema=TYPED_SCHEMA).drop("ingested_at")
+    _same(out[True], out[False])
+    assert out[False].count() == lake.typed().count()
