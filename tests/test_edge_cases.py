@@ -183,3 +183,24 @@ def test_ordered_metrics_are_sorted(spark):
           event("impression", "i3", campaign="camp_a", ts="2023-12-31T10:00:00+00:00")]
     got = [(r.event_date.isoformat(), r.campaign_id) for r in campaign_metrics(_typed(spark, ps), ordered=True).collect()]
     assert got == sorted(got)
+
+
+def test_click_after_midnight_counts_on_its_own_day(spark):
+    ps = [
+        event("impression", "i1", ts="2024-01-01T23:59:00+00:00"),
+        event("impression", "i2", ts="2024-01-02T08:00:00+00:00"),
+        event("click", "c1", ts="2024-01-02T00:01:00+00:00"),
+        event("click", "c2", ts="2024-01-02T09:00:00+00:00"),
+    ]
+    got = {r.event_date.isoformat(): (r.impressions, r.clicks, r.ctr)
+           for r in campaign_metrics(_typed(spark, ps)).collect()}
+    assert got == {"2024-01-01": (1, 0, 0.0), "2024-01-02": (1, 2, 2.0)}  # CTR above 1
+
+
+def test_replays_inflate_kpis_only_without_dedup(spark):
+    ps = [event("impression", "i1"), event("click", "c1"), event("conversion", "v1", revenue=3.0)]
+    raw = to_raw(records(spark, ps + ps[1:]))  # the click and the conversion are replayed
+    as_coded = campaign_metrics(typed_events(raw, dedup=False)).first()
+    deduped = campaign_metrics(typed_events(raw)).first()
+    assert (as_coded.clicks, as_coded.conversions, as_coded.revenue) == (2, 2, 6.0)
+    assert (deduped.clicks, deduped.conversions, deduped.revenue) == (1, 1, 3.0)
