@@ -10,16 +10,22 @@
 3. the streaming chain runs once more into a fresh folder to report input
    rows/s per layer from the query progress;
 4. ratios of the alternative plans (three-way / single-pass parse, joined /
-   single-aggregation metrics) on the same rows.
+   single-aggregation metrics) on the same rows;
+5. per query, what its last warm run read, shuffled and spilled, summed from
+   the stage metrics of Spark's event log (written to a fresh scratch folder;
+   ``BENCH_EVENT_LOG=0`` turns it off).  ``stream_*`` queries are left out:
+   their micro-batches run on stream threads that do not carry the tag.
 
 ``value`` is the sum of the per-query times.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -34,16 +40,58 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+_METRICS = {
+    "internal.metrics.input.bytesRead": "input_bytes",
+    "internal.metrics.shuffle.write.bytesWritten": "shuffle_write_bytes",
+    "internal.metrics.diskBytesSpilled": "spill_disk_bytes",
+}
+
+
+def shuffle_report(log_dir: str) -> dict[str, dict[str, int]]:
+    """Stage metrics of the event log, summed per job description."""
+    desc_of_stage: dict[int, str] = {}
+    report: dict[str, dict[str, int]] = {}
+    paths = [p for p in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True)
+             if os.path.isfile(p) and not os.path.basename(p).startswith("appstatus")]
+    for path in sorted(paths):
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerStageSubmitted":
+                    desc = (ev.get("Properties") or {}).get("spark.job.description") or ""
+                    if desc.startswith("bench:") and not desc.startswith("bench:stream_"):
+                        desc_of_stage[ev["Stage Info"]["Stage ID"]] = desc[len("bench:"):]
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev["Stage Info"]
+                    name = desc_of_stage.get(info["Stage ID"])
+                    if name is None:
+                        continue
+                    row = report.setdefault(name, {"stages": 0, **{v: 0 for v in _METRICS.values()}})
+                    row["stages"] += 1
+                    for acc in info.get("Accumulables", []):
+                        key = _METRICS.get(acc.get("Name"))
+                        if key:
+                            row[key] += int(acc.get("Value", 0))
+    return report
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     warm = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    extra = {"spark.driver.memory": "16g"}
+    log_dir = None
+    if os.environ.get("BENCH_EVENT_LOG", "1") != "0":
+        log_dir = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                      "spark.eventLog.compress": "false"})
     spark = build_session(
         f"local[{cpus}]",
         app_name="campaignlake-bench",
         shuffle_partitions=int(cpus),
-        extra_conf={"spark.driver.memory": "16g"},
+        extra_conf=extra,
     )
     spark.sparkContext.setLogLevel("ERROR")
 
@@ -61,12 +109,15 @@ def main() -> None:
             continue
         best = None
         for i in range(1 + warm):
+            # tag the last run's jobs so the event log can be split per query
+            spark.sparkContext.setJobDescription(f"bench:{name}" if i == warm else None)
             t0 = time.perf_counter()
             _run(fn(spark, sf_dir))
             dt = time.perf_counter() - t0
             if i > 0 or warm == 0:
                 best = dt if best is None else min(best, dt)
         times[name] = round(best, 3)
+    spark.sparkContext.setJobDescription(None)
 
     ratios = {}
     for label, slow, fast in (
@@ -91,6 +142,14 @@ def main() -> None:
             stream_rates[f"{layer}_rows_per_second"] = round(rows / (ms / 1000.0), 1) if ms else None
 
     sf = os.path.basename(sf_dir).replace("sf", "")
+    version = spark.version
+    spark.stop()
+    shuffle = {}
+    if log_dir:
+        try:
+            shuffle = shuffle_report(log_dir)
+        except Exception as exc:  # the report is optional; never fail the bench
+            shuffle = {"error": str(exc)[:200]}
     print(
         json.dumps(
             {
@@ -103,11 +162,11 @@ def main() -> None:
                 "streaming": stream_rates,
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "cpus": int(cpus),
-                "spark": spark.version,
+                "spark": version,
+                "last_run_bytes": shuffle,
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
