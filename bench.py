@@ -11,7 +11,8 @@
    rows/s per layer from the query progress;
 4. ratios of the alternative plans (three-way / single-pass parse, joined /
    single-aggregation metrics) on the same rows;
-5. per query, what its last warm run read, shuffled and spilled, summed from
+5. per query, rows its last warm run read and shuffled, and bytes shuffled
+   and spilled, summed from
    the stage metrics of Spark's event log (written to a fresh scratch folder;
    ``BENCH_EVENT_LOG=0`` turns it off).  ``stream_*`` queries are left out:
    their micro-batches run on stream threads that do not carry the tag.
@@ -41,9 +42,10 @@ def _run(df) -> None:
 
 
 _METRICS = {
-    "internal.metrics.input.bytesRead": "input_bytes",
-    "internal.metrics.shuffle.write.bytesWritten": "shuffle_write_bytes",
-    "internal.metrics.diskBytesSpilled": "spill_disk_bytes",
+    "internal.metrics.input.recordsRead": "rows_read",
+    "internal.metrics.shuffle.write.recordsWritten": "rows_shuffled",
+    "internal.metrics.shuffle.write.bytesWritten": "bytes_shuffled",
+    "internal.metrics.diskBytesSpilled": "bytes_spilled",
 }
 
 
