@@ -10,8 +10,9 @@ becomes a third of the job in a single sort.  Here the key is split into time
 buckets instead:
 
 1. inside each (key, bucket) the window above runs on a small slice;
-2. each (key, bucket) is summarised by its last non-null value (a partial
-   aggregate, so it is combined map-side before the shuffle);
+2. each (key, bucket) is summarised by its last non-null value: a partial
+   aggregate over a second read of the input (only the key, order and value
+   columns), combined map-side before the shuffle;
 3. those summaries, at most one row per (key, bucket), are scanned per key to
    get the value carried into each bucket;
 4. rows take the in-bucket value, else the carried one.
