@@ -237,6 +237,11 @@ def q_freshness(spark, sf_dir):
 
 
 # -- streaming chain ----------------------------------------------------------------
+def _cores(spark) -> int:
+    # dedup state partitions for a backfill: one per core of the cluster
+    return spark.sparkContext.defaultParallelism
+
+
 def _stream_paths(spark, sf_dir) -> LayerPaths:
     lake = Lake(spark, sf_dir)
     lake.topic()
@@ -252,14 +257,14 @@ def q_stream_raw(spark, sf_dir):
 def q_stream_typed(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     await_query(start_raw_stream(spark, paths, salt_buckets=BACKFILL_SALT_BUCKETS), STREAM_TIMEOUT_SECONDS)
-    await_query(start_typed_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
+    await_query(start_typed_stream(spark, paths, state_partitions=_cores(spark)), STREAM_TIMEOUT_SECONDS)
     return typed_out(read_table(spark, paths.typed, TYPED_COLUMNS, schema=TYPED_SCHEMA))
 
 
 def q_stream_metrics(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     await_query(start_raw_stream(spark, paths, salt_buckets=BACKFILL_SALT_BUCKETS), STREAM_TIMEOUT_SECONDS)
-    await_query(start_typed_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
+    await_query(start_typed_stream(spark, paths, state_partitions=_cores(spark)), STREAM_TIMEOUT_SECONDS)
     build_metrics(spark, paths)
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
 
@@ -267,7 +272,7 @@ def q_stream_metrics(spark, sf_dir):
 def q_stream_metrics_incremental(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     run_layers(spark, paths, timeout_seconds=STREAM_TIMEOUT_SECONDS, salt_buckets=BACKFILL_SALT_BUCKETS,
-               incremental_metrics=True)
+               incremental_metrics=True, state_partitions=_cores(spark))
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
 
 
@@ -275,7 +280,7 @@ def q_stream_progress(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     raw_q = start_raw_stream(spark, paths, max_files_per_trigger=4, salt_buckets=BACKFILL_SALT_BUCKETS)
     progress = {"raw": await_query(raw_q, STREAM_TIMEOUT_SECONDS)}
-    progress["typed"] = await_query(start_typed_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
+    progress["typed"] = await_query(start_typed_stream(spark, paths, state_partitions=_cores(spark)), STREAM_TIMEOUT_SECONDS)
     return progress_frame(spark, progress).select("layer", "batch_id", "num_input_rows")
 
 

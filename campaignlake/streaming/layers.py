@@ -148,19 +148,36 @@ def start_typed_stream(
     within_watermark: str | None = None,
     max_files_per_trigger: int | None = None,
     dedup_salt_buckets: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Raw table -> typed table (exact dedup state in the checkpoint)."""
+    """Raw table -> typed table (exact dedup state in the checkpoint).
+
+    ``state_partitions`` sets how many partitions the dedup state (and its
+    shuffle) gets when the checkpoint is new; Spark then keeps that number
+    for the life of the checkpoint.  Streams cannot coalesce partitions at
+    run time, so this should follow the data (about one per core for a
+    backfill); by default the session's ``spark.sql.shuffle.partitions``
+    applies.  The setting is scoped to this query: a started stream runs on
+    its own copy of the session conf, and the session's value is restored.
+    """
     if dedup and not within_watermark:
         _use_rocksdb_state(spark)
     df = typed_stream(spark, paths, single_pass, dedup, within_watermark, max_files_per_trigger, dedup_salt_buckets)
-    return start_stream(
-        df,
-        paths.typed,
-        paths.typed_checkpoint,
-        partition_by=TYPED_PARTITION_COLUMNS,
-        fmt=paths.fmt,
-        options={"mergeSchema": "true", "delta.enableChangeDataFeed": "true"},
-    )
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        return start_stream(
+            df,
+            paths.typed,
+            paths.typed_checkpoint,
+            partition_by=TYPED_PARTITION_COLUMNS,
+            fmt=paths.fmt,
+            options={"mergeSchema": "true", "delta.enableChangeDataFeed": "true"},
+        )
+    finally:
+        spark.conf.set(key, previous)
 
 
 def build_metrics(
@@ -307,6 +324,7 @@ def run_layers(
     salt_buckets: int | None = None,
     dedup_salt_buckets: int | None = None,
     incremental_metrics: bool = False,
+    state_partitions: int | None = None,
 ) -> LayerRun:
     """raw, then typed, then metrics; each starts after the previous ended.
 
@@ -321,7 +339,9 @@ def run_layers(
         spark, paths, kafka, max_files_per_trigger=max_files_per_trigger, salt_buckets=salt_buckets
     )
     run.progress["raw"] = await_query(raw_q, timeout_seconds)
-    typed_q = start_typed_stream(spark, paths, single_pass_parse, dedup, dedup_salt_buckets=dedup_salt_buckets)
+    typed_q = start_typed_stream(
+        spark, paths, single_pass_parse, dedup, dedup_salt_buckets=dedup_salt_buckets, state_partitions=state_partitions
+    )
     run.progress["typed"] = await_query(typed_q, timeout_seconds)
     if incremental_metrics:
         refresh_metrics(spark, paths, single_pass=single_pass_metrics, exact=exact, timeout_seconds=timeout_seconds)

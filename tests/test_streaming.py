@@ -138,3 +138,19 @@ def test_three_way_stream_equals_single_pass_stream(spark, scratch):
         out[single] = read_table(spark, paths.typed, TYPED_COLUMNS, schema=TYPED_SCHEMA).drop("ingested_at")
     _same(out[True], out[False])
     assert out[False].count() == lake.typed().count()
+
+
+def test_state_partitions_are_scoped_to_the_stream(spark, scratch):
+    import os
+
+    src = f"{scratch}/source"
+    paths = LayerPaths.under(scratch, source=src)
+    records(spark, [event("click", f"e_{i}") for i in range(20)]).write.parquet(src)
+    await_query(start_raw_stream(spark, paths), 600)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    await_query(start_typed_stream(spark, paths, state_partitions=3), 600)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    state = os.path.join(paths.typed_checkpoint, "state", "0")
+    parts = sorted(d for d in os.listdir(state) if d.isdigit())
+    assert parts == ["0", "1", "2"]
+    assert read_table(spark, paths.typed).count() == 20
