@@ -204,3 +204,11 @@ def test_replays_inflate_kpis_only_without_dedup(spark):
     deduped = campaign_metrics(typed_events(raw)).first()
     assert (as_coded.clicks, as_coded.conversions, as_coded.revenue) == (2, 2, 6.0)
     assert (deduped.clicks, deduped.conversions, deduped.revenue) == (1, 1, 3.0)
+
+
+
+def test_duplicated_key_routes_and_parses_the_same(spark):
+    p = '{"event_id":"e_1","event_type":"click","event_type":"impression","campaign_id":"c"}'
+    raw = to_raw(records(spark, [p])).first()
+    typed = _typed(spark, [p]).first()
+    assert raw.event_type == typed.event_type == "impression"
