@@ -85,3 +85,16 @@ def test_incremental_refresh_reads_only_the_dirty_span(spark, scratch):
     for line in typed_scans:
         assert "GreaterThanOrEqual(event_timestamp,2024-01-05" in line and "LessThan(event_timestamp,2024-01-08" in line
     assert {r.event_date for r in metrics.select("event_date").distinct().collect()} == {d for (d,) in days}
+
+
+def test_layer_writes_do_not_explode_file_counts(spark):
+    import glob
+    import os
+
+    lake = Lake(spark, SF_SMALL)
+    lake.typed()
+    for path, depth in ((lake.raw_path, 2), (lake.typed_path, 1)):
+        dirs = glob.glob(os.path.join(path, *["*"] * depth))
+        dirs = [d for d in dirs if os.path.isdir(d)]
+        files = glob.glob(os.path.join(path, *["*"] * depth, "*.parquet"))
+        assert dirs and len(files) <= 2 * len(dirs), (path, len(files), len(dirs))
