@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from campaignlake.llm import block_naming, winnowing
+from campaignlake.llm import block_naming, splitters, token_files, vector_packing, winnowing
 from campaignlake.llm.common import table
 from campaignlake.llm.oracle import ORACLE_SQL
 
@@ -20,4 +22,36 @@ def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_winnowing, op5_block_naming)}
+def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = vector_packing.pack_documents(table(spark, sf_dir, "documents"), path)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op9_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitters.shard_by_size(table(spark, sf_dir, "documents"))
+
+
+def op10_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.round_trip(table(spark, sf_dir, "documents"), path)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_winnowing,
+        op4_vector_packing,
+        op5_block_naming,
+        op9_sampled_splitters,
+        op10_range_coder,
+    )
+}
