@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaignlake.llm.common import lower_ascii, materialize, utf8
+from campaignlake.llm.common import lower_ascii, materialize, staying_rows, utf8
 
 BLOCK_BYTES = 16384
 
@@ -166,23 +166,7 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Rows repeating one ``doc_id`` with equal text are the same document: the kept
-    row's ``doc_id`` and text digest choose one of them.
-    """
-    groups = exact_groups(docs, block_bytes)
-    kept = materialize(
-        groups.where("kept").select(
-            F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha")
-        ),
-        "kept",
-    )
+    """The rows of ``docs`` that stay, with all their columns."""
+    groups = materialize(exact_groups(docs, block_bytes), "groups")
     digest = F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)
-    match = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (digest == F.col("__kept_sha"))
-    staying = docs.join(kept, match, "left_semi")
-    repeated = groups.groupBy("doc_id", "text_sha256").count().where("count > 1").limit(1)
-    if repeated.isEmpty():  # else the join would keep each of the repeated rows
-        return staying
-    tagged = staying.withColumn("__kept_sha", digest)
-    return tagged.dropDuplicates(["doc_id", "__kept_sha"]).drop("__kept_sha")
+    return staying_rows(docs, groups.withColumnRenamed("text_sha256", "digest"), digest)

@@ -6,7 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campaignlake.llm import block_naming, splitters, token_files, vector_packing, winnowing
+from campaignlake.llm import (
+    block_naming,
+    probminhash,
+    splitters,
+    token_files,
+    vector_packing,
+    winnowing,
+)
 from campaignlake.llm.common import table
 from campaignlake.llm.oracle import ORACLE_SQL
 
@@ -22,6 +29,10 @@ def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = vector_packing.pack_documents(table(spark, sf_dir, "documents"), path)
@@ -49,6 +60,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_winnowing,
+        op3_probminhash,
         op4_vector_packing,
         op5_block_naming,
         op9_sampled_splitters,

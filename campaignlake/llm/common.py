@@ -90,6 +90,25 @@ def lower_ascii(column):
     return F.translate(column, _ASCII_UPPER, _ASCII_LOWER)
 
 
+def staying_rows(docs: DataFrame, decided: DataFrame, digest) -> DataFrame:
+    """The rows of ``docs`` that ``decided`` keeps, with all their columns.
+
+    ``decided`` has a row (doc_id, digest, kept) for each row of ``docs``; ``digest``
+    is the same value as a Column over ``docs``. Rows that repeat both are one
+    document, of which one row stays at most.
+    """
+    kept = decided.where("kept").select(
+        F.col("doc_id").alias("__kept_id"), F.col("digest").alias("__kept_digest")
+    )
+    match = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (digest == F.col("__kept_digest"))
+    staying = docs.join(kept, match, "left_semi")
+    repeated = decided.groupBy("doc_id", "digest").count().where("count > 1").limit(1)
+    if repeated.isEmpty():
+        return staying
+    tagged = staying.withColumn("__kept_digest", digest)
+    return tagged.dropDuplicates(["doc_id", "__kept_digest"]).drop("__kept_digest")
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 bytes of a text; null is empty."""
     return text.encode("utf-8", "surrogatepass") if text else b""
