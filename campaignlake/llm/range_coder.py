@@ -34,6 +34,9 @@ _LOWEST = _U(1 << 32)  # a range below this is shifted by 32 bits
 _WORD = _U(32)
 _CONTEXTS = 1 << 12
 _LEVELS = 8
+_MOST = 60000
+#: With both candidates at ``_MOST``, order 0 has 119,716 of 2**24 left to share out.
+LARGEST_VOCABULARY = 1 << 16
 
 
 class _Model:
@@ -59,9 +62,9 @@ class _Model:
         self.count = np.zeros((lanes, steps), np.uint16)
 
     def shares(self) -> None:
-        """16-bit shares of candidates by confidence."""
+        """16-bit shares of candidates by confidence; the most leaves every id a share."""
         part = self.right / self.tried * 65536
-        np.clip(part.astype(np.int64), 64, 64000, out=self.share)
+        np.clip(part.astype(np.int64), 64, _MOST, out=self.share)
 
     def contexts(self, last2, last):
         """Table places of both contexts; broadcast over lanes in the last axis."""
@@ -268,6 +271,8 @@ def _decode_lanes(codes: list[bytes], sizes: list[int], vocabulary: int) -> list
 
 def encode_blocks(ids: np.ndarray, vocabulary: int, block_ids: int = BLOCK_IDS) -> list[tuple]:
     """(number of ids, crc32 of the ids, code) of each block of ``ids`` in order."""
+    if vocabulary > LARGEST_VOCABULARY:
+        raise ValueError(f"vocabulary is {vocabulary}, at most {LARGEST_VOCABULARY} can be coded")
     blocks = [ids[a : a + block_ids] for a in range(0, len(ids), block_ids)]
     out = []
     for a in range(0, len(blocks), LANES):
