@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaignlake.llm import (
+    backoff_langid,
     block_naming,
+    chat_prefix,
+    mincut_html,
     probminhash,
     splitters,
     token_files,
+    toxicity,
     vector_packing,
     winnowing,
 )
@@ -29,6 +33,11 @@ def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_backoff_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return backoff_langid.identify(docs, backoff_langid.fit(docs))
+
+
 def op3_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,6 +56,25 @@ def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    return chat_prefix.read_back(chat_prefix.expand(turns.unionByName(added)))
+
+
+def op7_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, labels))
+
+
+def op8_mincut_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut_html.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitters.shard_by_size(table(spark, sf_dir, "documents"))
 
@@ -60,9 +88,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_winnowing,
+        op2_backoff_langid,
         op3_probminhash,
         op4_vector_packing,
         op5_block_naming,
+        op6_chat_prefix,
+        op7_levenshtein_toxicity,
+        op8_mincut_html,
         op9_sampled_splitters,
         op10_range_coder,
     )

@@ -5,6 +5,13 @@ from __future__ import annotations
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+# a backslash is added after the first character of each control string
+_ESCAPED = (
+    r"regexp_replace(regexp_replace(text,"
+    r" '(<)(\\*(?:\|im_start\|>|\|im_end\|>|/?s>|<SYS>>|</SYS>>))', '\1\\\2', 'g'),"
+    r" '(\[)(\\*/?INST\])', '\1\\\2', 'g')"
+)
+
 ORACLE_SQL = {
     "op1_winnowing": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
@@ -34,6 +41,24 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, coalesce(s, sha256('')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""",
+    "op6_chat_prefix": rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, row_number() OVER w AS n,
+    length({_ESCAPED}) + length(role) + length('<|im_start|>' || chr(10) || '<|im_end|>' || chr(10)) AS chars
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+grown AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS prefix,
+         max(n) OVER (PARTITION BY conv_id) AS last FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' OR n = last THEN prefix ELSE 0 END) AS BIGINT) AS formatted_chars,
+  CAST(count(*) FILTER (role = 'assistant' OR n = last) AS BIGINT) AS examples
+FROM grown GROUP BY conv_id""",
     "op5_block_naming": f"""
 WITH d AS (
   SELECT doc_id, {_LOWER} AS t, row_number() OVER () AS r FROM documents)
