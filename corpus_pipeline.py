@@ -1,26 +1,70 @@
-"""Corpus preparation: documents in, packed training sequences out."""
+"""Corpus preparation: documents in, packed training sequences out.
+
+Language identification, exact dedup, near-dedup, benchmark decontamination and
+packing. Every stage works on all that the one before kept.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from campaignlake.llm import (
+    backoff_langid,
+    block_naming,
+    probminhash,
+    vector_packing,
+    winnowing,
+)
+from campaignlake.llm.common import materialize, ship, table
+
+#: Four languages share a score of one; a text below this says nothing of its language.
+LEAST_LANGUAGE_SCORE = 0.3
+
 
-from campaignlake.llm import block_naming, winnowing
-from campaignlake.llm.common import materialize, table
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can't be told go (no text, no letters, or no evidence)."""
+    ship(spark)
+    found = backoff_langid.identify(docs, backoff_langid.fit(docs))
+    rejected = found.where(
+        (F.col("lang_pred") == backoff_langid.UNKNOWN) | (F.col("score") < LEAST_LANGUAGE_SCORE)
+    )
+    rejected = materialize(rejected.select(F.col("doc_id").alias("__bad_id")), "rejected")
+    return docs.join(
+        rejected.distinct(), F.col("doc_id").eqNullSafe(F.col("__bad_id")), "left_anti"
+    )
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
+    ship(spark)
     return block_naming.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays."""
+    ship(spark)
+    return probminhash.drop_near_copies(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
     return winnowing.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of token ids, a row per piece."""
+    ship(spark)
+    return vector_packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("language_id", keep_known_language),
     ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
     ("decontamination", drop_contaminated),
+    ("packing", pack),
 ]
 
 #: SQL can't express the learned and randomised stages; tests/llm compares with brute force.
