@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campaignlake.llm.common import slices
+from campaignlake.llm.common import slices, text_digest
 
 SAMPLE = 500
 LONGEST = 5
@@ -180,6 +180,7 @@ def _predict(model, key: str):
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"].astype("Int64").to_numpy(),
+                    "digest": frame["digest"].to_numpy(),
                     "lang_pred": [lang for lang, _ in found],
                     "score": [score for _, score in found],
                 }
@@ -189,12 +190,14 @@ def _predict(model, key: str):
 
 
 def identify(docs: DataFrame, model: BackoffModel) -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred, score."""
+    """Per row: doc_id, held_out, lang_pred, score, and a digest of the text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text"
+    )
     found = source.mapInPandas(
         _predict(shared, f"model-{id(model)}-{shared._jbroadcast.id()}"),
-        "doc_id long, lang_pred string, score double",
+        "doc_id long, digest long, lang_pred string, score double",
     )
     out = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
-    return found.select("doc_id", out, "lang_pred", "score")
+    return found.select("doc_id", out, "lang_pred", "score", "digest")

@@ -109,6 +109,19 @@ def staying_rows(docs: DataFrame, decided: DataFrame, digest) -> DataFrame:
     return tagged.dropDuplicates(["doc_id", "__kept_digest"]).drop("__kept_digest")
 
 
+def text_digest(column="text"):
+    """A hash that tells rows with one doc_id and different texts apart."""
+    return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
+
+
+def without_rows(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that have no row (doc_id, digest) in ``rejected``."""
+    bad = rejected.select(F.col("doc_id").alias("__bad_id"), F.col("digest").alias("__bad_digest"))
+    bad = materialize(bad.distinct(), "rejected")
+    match = F.col("doc_id").eqNullSafe(F.col("__bad_id")) & (text_digest() == F.col("__bad_digest"))
+    return docs.join(bad, match, "left_anti")
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 bytes of a text; null is empty."""
     return text.encode("utf-8", "surrogatepass") if text else b""

@@ -31,7 +31,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaignlake.llm.common import materialize, mix64, slices, word_bytes
+from campaignlake.llm.common import (
+    materialize,
+    mix64,
+    slices,
+    text_digest,
+    without_rows,
+    word_bytes,
+)
 
 SPAN = 10
 GRAM = 5
@@ -40,7 +47,7 @@ _SLICE_CHARS = 4_000_000
 _UNSEEN = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
-_HITS = "row long, doc_id long, n_words long, starts array<long>, ends array<long>, items array<string>"
+_HITS = "row long, doc_id long, digest long, n_words long, starts array<long>, ends array<long>, items array<string>"
 
 
 def gram_hashes(ids: np.ndarray, gram: int) -> np.ndarray:
@@ -163,6 +170,7 @@ def _scan(index):
                 {
                     "row": frame["row"],
                     "doc_id": frame["doc_id"].astype("Int64"),
+                    "digest": frame["digest"],
                     "n_words": sizes,
                     "starts": [m[0] for m in merged],
                     "ends": [m[1] for m in merged],
@@ -191,13 +199,16 @@ def hit_spans(
     gram: int = GRAM,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """Per row: doc_id, n_words, word intervals [starts, ends) that items cover, items."""
+    """Per row: doc_id, text digest, n_words, word intervals [starts, ends) of items, items."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     words = items.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-words // (4 * block_words)))
     source = docs.select(
-        F.lit(0).cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
+        F.lit(0).cast("long").alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_digest().alias("digest"),
+        "text",
     )
     if blocks > 1:  # rows are told apart when their hits are united
         source = materialize(
@@ -211,7 +222,7 @@ def hit_spans(
         part = source.mapInPandas(_scan(index), _HITS)
         parts = part if parts is None else parts.unionByName(part)
     if blocks > 1:
-        parts = parts.groupBy("row", "doc_id", "n_words").agg(
+        parts = parts.groupBy("row", "doc_id", "digest", "n_words").agg(
             *(F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items"))
         )
     return parts.drop("row")
@@ -231,8 +242,5 @@ def contamination(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, with all their columns."""
-    bad = contamination(docs, benchmark, **options).where("contaminated").select(
-        F.col("doc_id").alias("__bad_id")
-    )
-    bad = materialize(bad.distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad_id")), "left_anti")
+    hits = hit_spans(docs, benchmark, **options).where(F.size("starts") > 0)
+    return without_rows(docs, hits)
