@@ -17,7 +17,7 @@ from campaignlake.llm import (
     vector_packing,
     winnowing,
 )
-from campaignlake.llm.common import materialize, ship, table
+from campaignlake.llm.common import materialize, ship, table, without_rows
 
 #: Four languages share a score of one; a text below this says nothing of its language.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -27,13 +27,8 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents whose language can't be told go (no text, no letters, or no evidence)."""
     ship(spark)
     found = backoff_langid.identify(docs, backoff_langid.fit(docs))
-    rejected = found.where(
-        (F.col("lang_pred") == backoff_langid.UNKNOWN) | (F.col("score") < LEAST_LANGUAGE_SCORE)
-    )
-    rejected = materialize(rejected.select(F.col("doc_id").alias("__bad_id")), "rejected")
-    return docs.join(
-        rejected.distinct(), F.col("doc_id").eqNullSafe(F.col("__bad_id")), "left_anti"
-    )
+    known = (F.col("lang_pred") != backoff_langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return without_rows(docs, found.where(~known))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
