@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 # Fixed value: simulated cost per click used for spend and ROAS.
 DEFAULT_CPC = 0.50
 
-MONEY = "decimal(18,2)"
+#: Wide enough for every cent and fraction of a cent below 1e28.
+MONEY = "decimal(38,10)"
 RATIO = "decimal(28,10)"
 
 
@@ -55,18 +56,30 @@ def roas(revenue="revenue", spend_col="spend", exact: bool = False) -> Column:
     return _round(ratio, 2, exact)
 
 
+def exact_money_sum(c: str | Column) -> Column:
+    """Sum in ``MONEY``; the sum of the doubles where a value has no such form.
+
+    NaN, infinities and values of 1e28 or more can't be summed in decimal; a
+    group with one of them gets its double sum, so no value is left out and none
+    fails the job.
+    """
+    value = _c(c)
+    form = value.try_cast(MONEY)
+    odd = F.count_if(value.isNotNull() & form.isNull())
+    return F.when(odd > 0, F.sum(value)).otherwise(F.sum(form).cast("double"))
+
+
 def money_sum(c: str | Column, double_sums: bool = False) -> Column:
-    """Sum of a money column as double, summed exactly in decimal unless
-    ``double_sums``."""
-    if double_sums:
-        return F.sum(_c(c))
-    return F.sum(_c(c).cast(MONEY)).cast("double")
+    """Sum of a money column as double: of its exact values, which doesn't depend on
+    the order of rows, or with ``double_sums`` of the doubles as they come."""
+    return F.sum(_c(c)) if double_sums else exact_money_sum(c)
 
 
 def _round(ratio: Column, digits: int, exact: bool) -> Column:
-    if exact:
-        return F.round(ratio.cast(RATIO), digits).cast("double")
-    return F.round(ratio, digits)
+    rounded = F.round(ratio, digits)
+    if exact:  # a ratio that the decimal can't hold keeps its double form
+        return F.coalesce(F.round(ratio.cast("double").try_cast(RATIO), digits).cast("double"), rounded)
+    return rounded
 
 
 def kpi_columns(cpc: float = DEFAULT_CPC, exact: bool = False) -> dict[str, Column]:

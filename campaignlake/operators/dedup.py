@@ -39,8 +39,6 @@ def dedup_events(
 def dedup_stream(
     df: DataFrame,
     key: str = "event_id",
-    within_watermark: str | None = None,
-    event_time: str = "event_timestamp",
     salt_buckets: int | None = None,
     salt_cols: list[str] | None = None,
 ) -> DataFrame:
@@ -48,9 +46,8 @@ def dedup_stream(
 
     Default is exact: every id ever seen is kept in the state store (use the
     RocksDB provider so state lives off-heap and spills to local disk, with
-    the checkpoint as its durable copy).  ``within_watermark`` (e.g.
-    ``"48 hours"``) bounds the state instead: a copy arriving later than that
-    after the first is no longer recognised.
+    the checkpoint as its durable copy).  There is no watermark form: a
+    watermark would also drop new events that arrive late.
 
     A stateful dedup has no map-side step: all copies of an id in a batch go
     to one task.  ``salt_buckets=k`` splits it in two chained exact dedups:
@@ -60,8 +57,6 @@ def dedup_stream(
     entry per id.
     """
     valid = df.where(F.col(key).isNotNull())
-    if within_watermark:
-        return valid.withWatermark(event_time, within_watermark).dropDuplicatesWithinWatermark([key])
     if salt_buckets:
         cols = salt_cols or LINEAGE_COLUMNS
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets))

@@ -24,7 +24,7 @@ EXPECTED_CVR = 0.05
 
 def _revenue_sum(c, double_sums: bool):
     # kept in decimal across both aggregation steps so the total is exact
-    return F.sum(c) if double_sums else F.sum(c.cast(MONEY))
+    return F.sum(c) if double_sums else F.sum(c.try_cast(MONEY))
 
 
 def _ids(typed: DataFrame, event_type: str, as_name: str) -> DataFrame:

@@ -28,7 +28,7 @@ from campaignlake.operators.quarantine import quarantine
 from campaignlake.operators.raw import to_raw
 from campaignlake.operators.samples import raw_sample, roas_ranking, typed_sample
 from campaignlake.operators.typed import parse_event, parse_single_pass, parse_three_way, typed_events
-from campaignlake.plans.lake import Lake
+from campaignlake.plans.lake import Lake, input_bytes
 from campaignlake.schemas import (
     METRICS_COLUMNS,
     METRICS_SCHEMA,
@@ -54,9 +54,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed value: the clock the freshness report is evaluated against.
 FRESHNESS_AS_OF = "2024-01-31 00:00:00"
 STREAM_TIMEOUT_SECONDS = 1800
-# The stream queries replay a whole dataset (a backfill spanning every day):
-# salt the raw write so each (day, type) directory gets a couple of files.
-BACKFILL_SALT_BUCKETS = 2
+# The stream queries replay a whole dataset (a backfill spanning every day): the
+# raw write is salted, so that a (day, type) directory of an even share of the
+# topic gets files of about this size, and state partitions hold as much input.
+BACKFILL_TASK_BYTES = 256 << 20
+BACKFILL_DIRECTORIES = 100
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -237,9 +239,17 @@ def q_freshness(spark, sf_dir):
 
 
 # -- streaming chain ----------------------------------------------------------------
-def _cores(spark) -> int:
-    # dedup state partitions for a backfill: one per core of the cluster
-    return spark.sparkContext.defaultParallelism
+def _pieces(spark, paths) -> int:
+    return -(-input_bytes(spark, paths.source) // BACKFILL_TASK_BYTES)
+
+
+def _salts(spark, paths) -> int:
+    return max(2, -(-_pieces(spark, paths) // BACKFILL_DIRECTORIES))
+
+
+def _states(spark, paths) -> int:
+    # dedup state partitions for a backfill: by the data, at least one per core
+    return max(spark.sparkContext.defaultParallelism, _pieces(spark, paths))
 
 
 def _stream_paths(spark, sf_dir) -> LayerPaths:
@@ -250,38 +260,39 @@ def _stream_paths(spark, sf_dir) -> LayerPaths:
 
 def q_stream_raw(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
-    await_query(start_raw_stream(spark, paths, salt_buckets=BACKFILL_SALT_BUCKETS), STREAM_TIMEOUT_SECONDS)
+    await_query(start_raw_stream(spark, paths, salt_buckets=_salts(spark, paths)), STREAM_TIMEOUT_SECONDS)
     return raw_out(read_table(spark, paths.raw, RAW_COLUMNS, schema=RAW_SCHEMA))
 
 
 def q_stream_typed(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
-    await_query(start_raw_stream(spark, paths, salt_buckets=BACKFILL_SALT_BUCKETS), STREAM_TIMEOUT_SECONDS)
-    await_query(start_typed_stream(spark, paths, state_partitions=_cores(spark)), STREAM_TIMEOUT_SECONDS)
+    await_query(start_raw_stream(spark, paths, salt_buckets=_salts(spark, paths)), STREAM_TIMEOUT_SECONDS)
+    await_query(start_typed_stream(spark, paths, state_partitions=_states(spark, paths)), STREAM_TIMEOUT_SECONDS)
     return typed_out(read_table(spark, paths.typed, TYPED_COLUMNS, schema=TYPED_SCHEMA))
 
 
 def q_stream_metrics(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
-    await_query(start_raw_stream(spark, paths, salt_buckets=BACKFILL_SALT_BUCKETS), STREAM_TIMEOUT_SECONDS)
-    await_query(start_typed_stream(spark, paths, state_partitions=_cores(spark)), STREAM_TIMEOUT_SECONDS)
+    await_query(start_raw_stream(spark, paths, salt_buckets=_salts(spark, paths)), STREAM_TIMEOUT_SECONDS)
+    await_query(start_typed_stream(spark, paths, state_partitions=_states(spark, paths)), STREAM_TIMEOUT_SECONDS)
     build_metrics(spark, paths)
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
 
 
 def q_stream_metrics_incremental(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
-    run_layers(spark, paths, timeout_seconds=STREAM_TIMEOUT_SECONDS, salt_buckets=BACKFILL_SALT_BUCKETS,
-               incremental_metrics=True, state_partitions=_cores(spark))
+    run_layers(spark, paths, timeout_seconds=STREAM_TIMEOUT_SECONDS, salt_buckets=_salts(spark, paths),
+               incremental_metrics=True, state_partitions=_states(spark, paths))
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
 
 
 def q_stream_progress(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
-    raw_q = start_raw_stream(spark, paths, max_files_per_trigger=4, salt_buckets=BACKFILL_SALT_BUCKETS)
+    raw_q = start_raw_stream(spark, paths, max_files_per_trigger=4, salt_buckets=_salts(spark, paths))
     progress = {"raw": await_query(raw_q, STREAM_TIMEOUT_SECONDS)}
-    progress["typed"] = await_query(start_typed_stream(spark, paths, state_partitions=_cores(spark)), STREAM_TIMEOUT_SECONDS)
-    return progress_frame(spark, progress).select("layer", "batch_id", "num_input_rows")
+    progress["typed"] = await_query(start_typed_stream(spark, paths, state_partitions=_states(spark, paths)), STREAM_TIMEOUT_SECONDS)
+    # batches depend on files and cores, their rows don't
+    return progress_frame(spark, progress).groupBy("layer").agg(F.sum("num_input_rows").alias("num_input_rows"))
 
 
 QUERIES: dict[str, Query] = {

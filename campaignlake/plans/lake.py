@@ -3,7 +3,8 @@ table below it.
 
 ``events`` -> topic records -> raw table -> typed table.  Each table is a
 Spark write to a folder under the cluster's shared checkpoint root, keyed by
-the input files and this package's source, so a changed input or changed
+the listing of the input files (path, length, modification time; on any file
+system Spark reads) and this package's source, so a changed input or changed
 code never reads a stale layer.  A table counts as present only when its
 ``_SUCCESS`` marker exists (written at job commit), so a write interrupted
 by a lost executor or driver is simply redone.
@@ -12,12 +13,12 @@ by a lost executor or driver is simply redone.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 from functools import cached_property
-from pathlib import Path
+from importlib.resources import files
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from campaignlake.operators.raw import to_raw
 from campaignlake.operators.typed import typed_events
@@ -36,28 +37,44 @@ from campaignlake.sources.fixtures import kafka_records
 from campaignlake.sources.tables import read_table
 from campaignlake.sources.topic import read_records
 
-_PACKAGE_ROOT = Path(__file__).resolve().parent.parent
 _BUILD_LOCK = threading.RLock()
 SEGMENT_RECORDS = 5_000_000
+SEGMENT_BYTES = 256 << 20
+
+
+def _sources(folder, prefix: str = ""):
+    """(name, bytes) of the package's modules, also where it is shipped as a zip."""
+    for entry in sorted(folder.iterdir(), key=lambda e: e.name):
+        if entry.is_dir():
+            yield from _sources(entry, f"{prefix}{entry.name}/")
+        elif entry.name.endswith(".py"):
+            yield prefix + entry.name, entry.read_bytes()
 
 
 def _code_version() -> str:
     h = hashlib.sha1()
-    for p in sorted(_PACKAGE_ROOT.rglob("*.py")):
-        h.update(str(p.relative_to(_PACKAGE_ROOT)).encode())
-        h.update(p.read_bytes())
+    for name, data in _sources(files("campaignlake")):
+        h.update(name.encode())
+        h.update(data)
     return h.hexdigest()[:12]
 
 
-def _input_fingerprint(sf_dir: str, tables: tuple[str, ...]) -> str:
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """path, length and modificationTime of the files below ``path``; contents aren't read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.load(path).select("path", "length", "modificationTime")
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    return _listing(spark, path).agg(F.sum("length")).first()[0] or 0
+
+
+def _input_fingerprint(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
+    h = hashlib.sha1(sf_dir.encode())
     for t in tables:
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
-        else:
-            h.update(f"{t}:remote".encode())
+        marks = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        n, total = _listing(spark, f"{sf_dir}/{t}.parquet").agg(F.count("*"), F.sum(marks)).first()
+        h.update(f"{t}:{n}:{total}".encode())
     return h.hexdigest()[:12]
 
 
@@ -68,7 +85,7 @@ class Lake:
         pin_session(spark)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        key = f"{_input_fingerprint(self.sf_dir, ('events',))}-{_code_version()}"
+        key = f"{_input_fingerprint(spark, self.sf_dir, ('events',))}-{_code_version()}"
         self.root = (root or scratch_path(spark, "lake", key)).rstrip("/")
 
     # -- inputs ---------------------------------------------------------
@@ -108,10 +125,11 @@ class Lake:
         """Kafka-shaped records of every event (the producer's output)."""
 
         def write():
-            # like a topic's log segments: one file per core (split by
-            # partition and offset) so readers get parallel input, and no
-            # file above SEGMENT_RECORDS records
-            segments = self.spark.sparkContext.defaultParallelism
+            # like a topic's log segments: at least one file per core (split by
+            # partition and offset) so readers get parallel input, one per
+            # SEGMENT_BYTES of input, and no file above SEGMENT_RECORDS records
+            size = input_bytes(self.spark, f"{self.sf_dir}/events.parquet")
+            segments = max(self.spark.sparkContext.defaultParallelism, -(-size // SEGMENT_BYTES))
             records = kafka_records(self.events()).repartition(segments, "partition", "offset")
             write_table(
                 records,

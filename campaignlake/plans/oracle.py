@@ -21,7 +21,7 @@ def dround(expr: str, digits: int) -> str:
 
 
 # Money sums: exact in decimal, returned as double.
-MONEY_SUM = "CAST(sum(CAST(({}) AS DECIMAL(18,2))) AS DOUBLE)"
+MONEY_SUM = "CAST(sum(CAST(({}) AS DECIMAL(38,10))) AS DOUBLE)"
 
 
 def _js(field: str, src: str = "raw_payload") -> str:
@@ -187,7 +187,7 @@ records AS (
     CAST({_PAYLOAD} AS VARCHAR) AS payload,
     'ad-events' AS topic,
     CAST(eid % 4 AS INTEGER) AS "partition",
-    CAST(eid + c.copy * 1000000 AS BIGINT) AS "offset",
+    CAST(eid * 2 + c.copy AS BIGINT) AS "offset",
     ts AS "timestamp",
     CAST(0 AS INTEGER) AS timestampType
   FROM mapped CROSS JOIN (VALUES (0), (1)) AS c(copy)
@@ -224,7 +224,7 @@ activity AS (
   SELECT campaign_id, CAST(event_timestamp AS DATE) AS event_date,
     count(*) FILTER (WHERE event_type = 'click') AS clicks,
     count(*) FILTER (WHERE event_type = 'conversion') AS conversions,
-    CAST(sum(CAST(revenue AS DECIMAL(18,2))) FILTER (WHERE event_type = 'conversion') AS DOUBLE) AS revenue
+    CAST(sum(CAST(revenue AS DECIMAL(38,10))) FILTER (WHERE event_type = 'conversion') AS DOUBLE) AS revenue
   FROM typed WHERE event_type IN ('click', 'conversion') GROUP BY 1, 2),
 imp_ids AS (
   SELECT DISTINCT event_id FROM typed WHERE event_type = 'impression' AND event_id IS NOT NULL),
@@ -232,7 +232,7 @@ click_ids AS (
   SELECT DISTINCT event_id FROM typed WHERE event_type = 'click' AND event_id IS NOT NULL),
 funnel_parts AS (
   SELECT campaign_id, count(*) AS impressions, NULL::BIGINT AS clicks, NULL::BIGINT AS linked_clicks,
-         NULL::BIGINT AS conversions, NULL::BIGINT AS linked_conversions, NULL::DECIMAL(38,2) AS linked_revenue
+         NULL::BIGINT AS conversions, NULL::BIGINT AS linked_conversions, NULL::DECIMAL(38,10) AS linked_revenue
   FROM typed WHERE event_type = 'impression' GROUP BY 1
   UNION ALL
   SELECT c.campaign_id, NULL, c.n, CASE WHEN i.event_id IS NOT NULL THEN c.n ELSE 0 END, NULL, NULL, NULL
@@ -241,7 +241,7 @@ funnel_parts AS (
   UNION ALL
   SELECT v.campaign_id, NULL, NULL, NULL, v.n, CASE WHEN k.event_id IS NOT NULL THEN v.n ELSE 0 END,
          CASE WHEN k.event_id IS NOT NULL THEN v.rev END
-  FROM (SELECT campaign_id, click_id, count(*) AS n, sum(CAST(revenue AS DECIMAL(18,2))) AS rev
+  FROM (SELECT campaign_id, click_id, count(*) AS n, sum(CAST(revenue AS DECIMAL(38,10))) AS rev
         FROM typed WHERE event_type = 'conversion' GROUP BY 1, 2) v
   LEFT JOIN click_ids k ON v.click_id = k.event_id)
 """
@@ -267,6 +267,11 @@ ORACLE_SQL: dict[str, str] = {
         'SELECT event_key, payload, topic, "partition", "offset", "timestamp", timestampType FROM records'
     ),
     "raw_projection": _q(f"SELECT {_cols(RAW_OUT)} FROM raw"),
+    "stream_progress": _q(
+        "SELECT 'raw' AS layer, CAST(count(*) AS BIGINT) AS num_input_rows FROM records "
+        "UNION ALL SELECT 'typed', CAST(count(*) AS BIGINT) FROM raw "
+        "WHERE event_type IN ('impression', 'click', 'conversion')"  # the others are pruned
+    ),
     "raw_profile": _q('SELECT event_type, event_date, count(*) AS "count" FROM raw GROUP BY 1, 2 ORDER BY 2, 1'),
     "raw_sample": _q(f"SELECT {_cols(RAW_OUT)} FROM raw ORDER BY eh_partition, eh_offset LIMIT 20"),
     "typed_impressions": _typed_type("impression"),

@@ -5,7 +5,6 @@ from campaignlake.sources.fixtures import kafka_records, mapped_events
 from campaignlake.sources.tables import read_table, read_table_stream
 from campaignlake.sources.topic import (
     kafka_options,
-    read_kafka_batch,
     read_kafka_stream,
     read_records,
     read_records_stream,
@@ -15,7 +14,6 @@ __all__ = [
     "kafka_options",
     "kafka_records",
     "mapped_events",
-    "read_kafka_batch",
     "read_kafka_stream",
     "read_records",
     "read_records_stream",

@@ -21,7 +21,6 @@ from campaignlake.operators.carry import last_prior_values
 TOPIC = "ad-events"
 TOPIC_PARTITIONS = 4
 REPLAY_EVERY = 100
-REPLAY_OFFSET_SHIFT = 1_000_000
 WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 TYPE_MAP = {"view": "impression", "purchase": "conversion", "click": "click"}
 DEVICES = ["mobile", "desktop", "tablet"]
@@ -147,7 +146,7 @@ def kafka_records(
     """Kafka-shaped records (``KAFKA_SCHEMA``) for every ``events`` row.
 
     ``replay_every`` re-sends every n-th event id once more (same key and
-    value, offset shifted), as an at-least-once producer retry would; those
+    value, the odd offset after it), as an at-least-once producer retry would; those
     copies exist to exercise deduplication.
     """
     mapped = mapped_events(events, link_bucket)
@@ -161,7 +160,7 @@ def kafka_records(
         encode_payload(mapped).cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         (F.col("_eid") % TOPIC_PARTITIONS).cast("int").alias("partition"),
-        (F.col("_eid") + F.col("_copy") * REPLAY_OFFSET_SHIFT).cast("long").alias("offset"),
+        (F.col("_eid") * 2 + F.col("_copy")).cast("long").alias("offset"),
         F.col("_ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

@@ -59,19 +59,21 @@ def read_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def read_kafka_batch(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    opts = {k: v for k, v in options.items() if k != "failOnDataLoss"}
-    return spark.read.format("kafka").options(**opts).load()
-
-
 def read_records_stream(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    ignore_missing_files: bool = False,
 ) -> DataFrame:
-    """Streaming read of Kafka-shaped records stored as files."""
-    reader = spark.readStream.format(fmt).schema(KAFKA_SCHEMA).option("ignoreMissingFiles", "true")
+    """Streaming read of Kafka-shaped records stored as files.
+
+    A file that disappears before it is read fails the query; with
+    ``ignore_missing_files`` its records are left out without a trace.
+    """
+    reader = spark.readStream.format(fmt).schema(KAFKA_SCHEMA)
+    if ignore_missing_files:
+        reader = reader.option("ignoreMissingFiles", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)

@@ -17,6 +17,7 @@ disk), so a lost executor or driver resumes from the last committed batch.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,7 +126,6 @@ def typed_stream(
     paths: LayerPaths,
     single_pass: bool = True,
     dedup: bool = True,
-    within_watermark: str | None = None,
     max_files_per_trigger: int | None = None,
     dedup_salt_buckets: int | None = None,
 ) -> DataFrame:
@@ -136,7 +136,7 @@ def typed_stream(
     carry = LINEAGE_COLUMNS if dedup_salt_buckets else None
     parsed = parse_typed(raw, single_pass=single_pass, carry=carry)
     if dedup:
-        parsed = dedup_stream(parsed, within_watermark=within_watermark, salt_buckets=dedup_salt_buckets)
+        parsed = dedup_stream(parsed, salt_buckets=dedup_salt_buckets)
     return parsed.select(*TYPED_COLUMNS)
 
 
@@ -145,7 +145,6 @@ def start_typed_stream(
     paths: LayerPaths,
     single_pass: bool = True,
     dedup: bool = True,
-    within_watermark: str | None = None,
     max_files_per_trigger: int | None = None,
     dedup_salt_buckets: int | None = None,
     state_partitions: int | None = None,
@@ -160,9 +159,9 @@ def start_typed_stream(
     applies.  The setting is scoped to this query: a started stream runs on
     its own copy of the session conf, and the session's value is restored.
     """
-    if dedup and not within_watermark:
+    if dedup:
         _use_rocksdb_state(spark)
-    df = typed_stream(spark, paths, single_pass, dedup, within_watermark, max_files_per_trigger, dedup_salt_buckets)
+    df = typed_stream(spark, paths, single_pass, dedup, max_files_per_trigger, dedup_salt_buckets)
     key = "spark.sql.shuffle.partitions"
     previous = spark.conf.get(key)
     if state_partitions:
@@ -300,15 +299,34 @@ def refresh_metrics(
     spark.createDataFrame([], DIRTY_DAYS_SCHEMA).write.mode("overwrite").format("parquet").save(paths.dirty_days)
 
 
+PROGRESS_POLL_SECONDS = 0.2
+
+
 def await_query(query: StreamingQuery, timeout_seconds: float | None = None) -> list[dict]:
-    """Wait for an ``availableNow`` query; raise if it failed or timed out."""
-    finished = query.awaitTermination(timeout_seconds) if timeout_seconds else query.awaitTermination()
-    if timeout_seconds and not finished:
-        query.stop()
-        raise TimeoutError(f"streaming query {query.id} did not finish in {timeout_seconds}s")
+    """Wait for an ``availableNow`` query; raise if it failed or timed out.
+
+    Returns the progress of every batch of this run. Spark keeps only the latest
+    updates, so they are gathered while the query runs.
+    """
+    batches: dict[int, dict] = {}
+
+    def gather() -> None:
+        for p in query.recentProgress:
+            # an update without rows may follow a batch's own under the same id
+            known = batches.get(p["batchId"])
+            if known is None or int(p["numInputRows"]) >= int(known["numInputRows"]):
+                batches[p["batchId"]] = p
+
+    end = time.monotonic() + timeout_seconds if timeout_seconds else None
+    while not query.awaitTermination(PROGRESS_POLL_SECONDS):
+        gather()
+        if end and time.monotonic() > end:
+            query.stop()
+            raise TimeoutError(f"streaming query {query.id} did not finish in {timeout_seconds}s")
     if query.exception() is not None:
         raise query.exception()
-    return [p for p in query.recentProgress]
+    gather()
+    return [batches[k] for k in sorted(batches)]
 
 
 def run_layers(

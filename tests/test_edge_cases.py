@@ -161,7 +161,7 @@ def test_kpi_formulas_and_half_up_rounding(spark):
     m = campaign_metrics(_typed(spark, ps)).first()
     assert m.ctr == round(2 / 3, 4) == 0.6667
     assert m.cvr == 0.5 and m.spend == 1.0
-    assert m.revenue == 1.01  # money is summed as decimal(18,2): 1.005 -> 1.01 (HALF_UP)
+    assert m.revenue == 1.005  # no value is cut to the cent
     assert m.roas == 1.01
 
 
@@ -212,3 +212,26 @@ def test_duplicated_key_routes_and_parses_the_same(spark):
     raw = to_raw(records(spark, [p])).first()
     typed = _typed(spark, [p]).first()
     assert raw.event_type == typed.event_type == "impression"
+
+
+def test_money_sums_keep_every_value(spark):
+    from campaignlake.functions.kpi import money_sum
+
+    groups = {
+        "mills": [0.004] * 100,
+        "halves": [19.995] * 1000,
+        "large": [2e16, 0.25],
+        "nan": [1.0, float("nan")],
+        "infinite": [1.0, float("inf")],
+        "beyond": [3e30, 1.0],
+        "null": [None, 1.5],
+    }
+    rows = [(k, v) for k, vs in groups.items() for v in vs]
+    sums = spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(money_sum("v").alias("s"))
+    got = {r["k"]: r["s"] for r in sums.collect()}
+    assert got["mills"] == 0.4 and got["halves"] == 19995.0 and got["null"] == 1.5
+    assert got["large"] == 20000000000000000.25 and got["beyond"] == 3e30
+    assert got["nan"] != got["nan"] and got["infinite"] == float("inf")
+    doubles = sums.sparkSession.createDataFrame(rows, "k string, v double").groupBy("k")
+    literal = {r["k"]: r["s"] for r in doubles.agg(money_sum("v", double_sums=True).alias("s")).collect()}
+    assert abs(literal["mills"] - 0.4) < 1e-9

@@ -63,16 +63,38 @@ def test_dedup_state_survives_runs(spark, scratch):
     assert typed.select("event_id").distinct().count() == 15
 
 
-def test_bounded_dedup_state_option(spark, scratch):
+def test_late_new_events_are_kept(spark, scratch):
     src = f"{scratch}/source"
     paths = LayerPaths.under(scratch, source=src)
-    p = event("click", "e_1")
-    records(spark, [p, p, event("click", "e_2")]).write.parquet(src)
-    await_query(start_raw_stream(spark, paths), 600)
-    await_query(start_typed_stream(spark, paths, within_watermark="1 hour"), 600)
+    for k, ts in enumerate(["2024-01-10T10:00:00.000000+00:00", "2024-01-01T10:00:00.000000+00:00"]):
+        part = [event("click", f"e_{k}", ts=ts)]
+        records(spark, part, start_offset=k).write.mode("append").parquet(src)
+        await_query(start_raw_stream(spark, paths), 600)
+        await_query(start_typed_stream(spark, paths), 600)
     assert read_table(spark, paths.typed).count() == 2
 
 
+def test_progress_outlives_what_spark_keeps():
+    class Query:
+        """Shows the last three of many batches, as a running query does."""
+
+        def __init__(self):
+            self.at = 0
+
+        def awaitTermination(self, seconds):
+            self.at += 2
+            return self.at >= 300
+
+        @property
+        def recentProgress(self):
+            return [{"batchId": k, "numInputRows": 1} for k in range(max(0, self.at - 3), self.at)]
+
+        def exception(self):
+            return None
+
+    assert sum(p["numInputRows"] for p in await_query(Query())) == 300
+
+
 def test_salted_stream_dedup_is_exact_across_runs(spark, scratch):
     src = f"{scratch}/source"
     paths = LayerPaths.under(scratch, source=src)
