@@ -53,14 +53,18 @@ _REPORT = frozenset(
 
 
 def edits(entry: str) -> int:
+    """Edits that an entry allows; a stem (``*``) of six letters or more allows one."""
+    if entry.endswith("*"):
+        return int(len(entry) > 6)
     return 0 if len(entry) < 5 else 1 if len(entry) < 9 else 2
 
 
 @dataclass
 class Node:
     children: dict[str, Node] = field(default_factory=dict)
-    word: str | None = None
-    stem: str | None = None
+    word: int = -1  # edits that a word ending here allows
+    stem: int = -1
+    most: int = 0  # the most edits that an entry below allows
 
 
 class Lexicon:
@@ -74,17 +78,17 @@ class Lexicon:
         self.tails: set[tuple[str, int]] = set()
         middles = []
         for entry in self.entries:
-            text, node = entry.rstrip("*"), self.root
+            text, node, k = entry.rstrip("*"), self.root, edits(entry)
             for letter in text:
                 node = node.children.setdefault(letter, Node())
+                node.most = max(node.most, k)
             if entry.endswith("*"):
-                node.stem = text
+                node.stem = k
             else:
-                node.word = text
+                node.word = k
             # what an edited form keeps: one of its beginning, its end and (two edits) its middle
-            k = edits(text)
             if entry.endswith("*"):
-                self.starts.add(text[: max(2, len(text) // 2)] if k else text)
+                self.starts.add(text[: len(text) // 2] if k else text)
                 if k:
                     middles.append(text[len(text) // 2 :])
                 continue
@@ -104,25 +108,34 @@ class Lexicon:
         return bool(self.middle and self.middle.search(word))
 
     def distance(self, word: str) -> int | None:
-        """Edits to the nearest entry that may have so many; None where there is none."""
-        best: int | None = None
+        """Edits to the nearest entry that may have so many; None where there is none.
+
+        The word's Levenshtein automaton runs as bit sets: bit i of ``states[e]`` stands
+        for i letters of the word read with e edits. Branches without a state are left.
+        """
         size = len(word)
-        todo = [(child, letter, tuple(range(size + 1))) for letter, child in self.root.children.items()]
+        full, end = (2 << size) - 1, 1 << size
+        at: dict[str, int] = {}
+        for k, letter in enumerate(word):
+            at[letter] = at.get(letter, 0) | 2 << k
+        best: int | None = None
+        todo = [(child, letter, (1, 3 & full, 7 & full)) for letter, child in self.root.children.items()]
         while todo:
-            node, letter, above = todo.pop()
-            row = [above[0] + 1]
-            for k in range(1, size + 1):
-                row.append(
-                    min(row[-1] + 1, above[k] + 1, above[k - 1] + (word[k - 1] != letter))
-                )
-            if node.word is not None and row[size] <= edits(node.word):
-                best = row[size] if best is None else min(best, row[size])
-            if node.stem is not None and (least := min(row[len(node.stem) - 1 :], default=9)) <= min(
-                1, edits(node.stem)
-            ):
-                best = least if best is None else min(best, least)
-            if min(row) <= 2:
-                todo.extend((child, at, tuple(row)) for at, child in node.children.items())
+            node, letter, (a0, a1, a2) = todo.pop()
+            match = at.get(letter, 0)
+            b0 = a0 << 1 & match
+            b1 = (a1 << 1 & match | a0 | a0 << 1 | b0 << 1 | b0) & full if node.most > 0 else 0
+            b2 = (a2 << 1 & match | a1 | a1 << 1 | b1 << 1 | b1) & full if node.most > 1 else 0
+            states = (b0, b1, b2)
+            if not (b0 or b1 or b2):
+                continue
+            for e in range(node.word + 1):
+                if states[e] & end and (best is None or e < best):
+                    best = e
+            for e in range(node.stem + 1):
+                if states[e] and (best is None or e < best):
+                    best = e
+            todo.extend((child, x, states) for x, child in node.children.items())
         return best
 
 
