@@ -11,7 +11,8 @@ Registers are banded. In a bucket every text is compared with the bucket's leade
 a different one in each band, so a bucket costs as many pairs as it has texts. Pairs
 whose registers agree too seldom are set aside, the others are verified on their
 shingles with the exact similarity, and links unite texts to classes. Buckets that
-still hold several classes are then searched again without leaders: their texts'
+still hold several classes compare the texts outside the largest with more leaders of
+it, and where several classes remain, they are searched without leaders: their texts'
 rarest shingles, of more than ``1 - threshold`` of the weight in sum, are joined,
 which every similar pair must share, and pairs of different classes verified. So no
 link between classes is lost to the choice of leaders, and a passage that many
@@ -36,14 +37,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaignlake.llm.common import materialize, mix64, slices, staying_rows, word_hashes
+from campaignlake.llm.common import (
+    materialize,
+    mix64,
+    slices,
+    staying_rows,
+    text_digest,
+    word_hashes,
+)
 from campaignlake.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 ROWS = 5
-_SLICE_CHARS = 4_000_000
+LEADERS = 6
+_SLICE_CHARS = 1_000_000
 _BROADCAST_ROWS = 500_000
 
 _U = np.uint64
@@ -221,7 +230,7 @@ class NearDuplicates:
         self.least = int(registers_ * max(0.0, threshold - 4.5 * error))
         source = docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
-            F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"),
+            text_digest().alias("digest"),
             "text",
         )
         self.signed = materialize(
@@ -254,17 +263,20 @@ class NearDuplicates:
             needed = F.broadcast(needed)
         return self.signed.select("rid", "text").join(needed, "rid", "left_semi")
 
+    def _agree(self, a: str, b: str):
+        """Whether two register columns agree often enough."""
+        same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
+        return F.aggregate(same, F.lit(0), lambda total, x: total + x) >= self.least
+
     def _alike(self, pairs: DataFrame) -> DataFrame:
         """Pairs (u, v) whose registers agree often enough."""
         r = self.texts.select("rid", "registers")
         both = pairs.join(r.toDF("u", "ru"), "u").join(r.toDF("v", "rv"), "v")
-        same = F.zip_with("ru", "rv", lambda x, y: (x == y).cast("int"))
-        agree = F.aggregate(same, F.lit(0), lambda total, x: total + x)
-        return both.where(agree >= self.least).select("u", "v")
+        return both.where(self._agree("ru", "rv")).select("u", "v")
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (u, v) whose texts are similar."""
-        pairs = materialize(self._alike(pairs), "pairs")
+    def verify(self, pairs: DataFrame, alike: bool = False) -> DataFrame:
+        """The pairs (u, v) whose texts are similar; ``alike``: registers are compared already."""
+        pairs = materialize(pairs if alike else self._alike(pairs), "pairs")
         text = materialize(self._text_of(pairs), "texts")
         both = pairs.join(text.toDF("u", "text_u"), "u").join(text.toDF("v", "text_v"), "v")
         return materialize(
@@ -279,23 +291,43 @@ class NearDuplicates:
             F.least("rid", "leader").alias("u"), F.greatest("rid", "leader").alias("v")
         ).distinct()
 
-    def open_texts(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
-        """(rid, label) of the texts in buckets that hold several classes."""
-        known = labels.toDF("rid", "label")
-        placed = buckets.join(known, "rid", "left").select(
-            "bucket", "rid", F.coalesce("label", "rid").alias("label")
+    def open_buckets(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
+        """(bucket, rid, label, main) of buckets of several classes; main is the largest."""
+        placed = materialize(
+            buckets.join(labels.toDF("rid", "label"), "rid", "left").select(
+                "bucket", "rid", F.coalesce("label", "rid").alias("label")
+            ),
+            "placed",
         )
         several = (
-            placed.groupBy("bucket")
-            .agg(F.min("label").alias("a"), F.max("label").alias("b"))
-            .where("a <> b")
-            .select("bucket")
+            placed.groupBy("bucket", "label")
+            .count()
+            .groupBy("bucket")
+            .agg(F.max(F.struct("count", "label")).alias("x"), F.count("*").alias("classes"))
+            .where("classes > 1")
+            .select("bucket", F.col("x.label").alias("main"))
         )
-        return placed.join(several, "bucket").select("rid", "label").distinct()
+        return materialize(placed.join(several, "bucket"), "open-buckets")
+
+    def stray_pairs(self, open_buckets: DataFrame) -> DataFrame:
+        """Texts outside a bucket's largest class, with ``LEADERS`` texts of that class."""
+        lots = [
+            F.min(F.struct(F.xxhash64("bucket", "rid", F.lit(k)), "rid")).alias(f"x{k}")
+            for k in range(LEADERS)
+        ]
+        leaders = open_buckets.where("label = main").groupBy("bucket").agg(*lots)
+        leaders = leaders.select(
+            "bucket", F.explode(F.array(*(F.col(f"x{k}.rid") for k in range(LEADERS)))).alias("v")
+        ).distinct()
+        strays = open_buckets.where("label <> main").select("bucket", F.col("rid").alias("u"))
+        pairs = strays.join(leaders, "bucket")
+        return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
     def rare_pairs(self, open_texts: DataFrame) -> DataFrame:
-        """Pairs of different classes that share a shingle of their rarest."""
-        open_texts = materialize(open_texts, "open-texts")
+        """Pairs of different classes that share a shingle of their rarest and seem alike."""
+        low = F.transform("registers", lambda x: (x.bitwiseAND(255) - 128).cast("tinyint"))
+        small = self.texts.select("rid", low.alias("low"))
+        open_texts = materialize(open_texts.join(small, "rid"), "open-texts")
         wanted = open_texts.select("rid")
         if wanted.count() <= _BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
@@ -328,10 +360,14 @@ class NearDuplicates:
         )
         member = prefix.join(largest, "shingle")
         stray = member.where("label <> main").select(
-            "shingle", F.col("rid").alias("u"), F.col("label").alias("lu")
+            "shingle", F.col("rid").alias("u"), F.col("label").alias("lu"), F.col("low").alias("au")
         )
-        other = member.select("shingle", F.col("rid").alias("v"), F.col("label").alias("lv"), "main")
-        pairs = stray.join(other, "shingle").where("lu <> lv and (lv = main or u < v)")
+        other = member.select(
+            F.col("shingle").alias("same"), F.col("rid").alias("v"), F.col("label").alias("lv"),
+            F.col("low").alias("av"), "main",
+        )
+        alike = (F.col("shingle") == F.col("same")) & F.expr("lu <> lv and (lv = main or u < v)")
+        pairs = stray.join(other, alike & self._agree("au", "av"))
         return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
     def labels(self) -> DataFrame:
@@ -339,10 +375,14 @@ class NearDuplicates:
         buckets = self.buckets()
         links = self.verify(self.leader_pairs(buckets))
         labels = components(links)
-        more = self.verify(self.rare_pairs(self.open_texts(buckets, labels)))
-        if more.isEmpty():
+        open_ = self.open_buckets(buckets, labels)
+        if open_.isEmpty():
             return labels
-        return components(links.union(more))
+        links = links.union(self.verify(self.stray_pairs(open_)))
+        labels = materialize(components(links), "labels")
+        open_ = self.open_buckets(open_.select("bucket", "rid"), labels)
+        more = self.verify(self.rare_pairs(open_.select("rid", "label").distinct()), alike=True)
+        return labels if more.isEmpty() else components(links.union(more))
 
     def classes(self) -> DataFrame:
         """Per row: doc_id, class_id, class_size, kept, and its rid and text digest."""
@@ -404,4 +444,4 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay, one of each class, with all their columns."""
     found = materialize(NearDuplicates(docs, **options).classes(), "classes")
-    return staying_rows(docs, found, F.xxhash64(F.coalesce("text", F.lit(""))))
+    return staying_rows(docs, found, text_digest())
