@@ -1,7 +1,7 @@
 """Column-level functions (JVM built-ins only; no Python UDF on the data path)."""
 
 from campaignlake.functions.kpi import DEFAULT_CPC, ctr, cvr, money_sum, roas, spend, with_kpis
-from campaignlake.functions.payload import event_day, json_field, payload_string, safe_date
+from campaignlake.functions.payload import event_day, payload_string, safe_date
 from campaignlake.functions.privacy import pseudonymize
 
 __all__ = [
@@ -9,7 +9,6 @@ __all__ = [
     "ctr",
     "cvr",
     "event_day",
-    "json_field",
     "money_sum",
     "payload_string",
     "pseudonymize",

@@ -12,11 +12,6 @@ def payload_string(col: str | Column = "value") -> Column:
     return c.cast("string")
 
 
-def json_field(payload: Column, field: str) -> Column:
-    """``$.field`` of a JSON document; NULL when missing or malformed."""
-    return F.get_json_object(payload, f"$.{field}")
-
-
 def safe_date(text: Column) -> Column:
     """Calendar day of an ISO-8601 string, NULL (not an error) on garbage.
 

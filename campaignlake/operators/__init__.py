@@ -2,7 +2,7 @@
 
 from campaignlake.operators.carry import last_prior_values
 from campaignlake.operators.dedup import dedup_events, dedup_stream
-from campaignlake.operators.freshness import freshness
+from campaignlake.operators.freshness import freshness, layer_freshness
 from campaignlake.operators.funnel import (
     advertiser_conflicts,
     campaign_dimension,
@@ -51,6 +51,7 @@ __all__ = [
     "funnel_rates",
     "last_prior_values",
     "layer_counts",
+    "layer_freshness",
     "line_revenue",
     "parse_event",
     "parse_single_pass",

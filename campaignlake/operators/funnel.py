@@ -4,7 +4,8 @@ These go a step past the metrics layer: they follow the id links carried by
 clicks (``impression_id``) and conversions (``click_id``).  Links are
 resolved after pre-aggregating the referring side by (campaign, referenced
 id), so a single id referenced by a huge number of events is one row in the
-join, not a hot key.
+join, not a hot key.  The orphan report returns rows, so it can't aggregate:
+rows without a reference skip its join, and AQE splits a skewed dangling id.
 """
 
 from __future__ import annotations
@@ -79,16 +80,19 @@ def funnel_orphans(typed: DataFrame) -> DataFrame:
     t = F.col("event_type")
 
     def orphans(child: str, ref_col: str, parent: str) -> DataFrame:
-        rows = typed.filter(t == child).select("event_id", "event_type", "campaign_id", F.col(ref_col).alias("ref_id"))
-        parents = _ids(typed, parent, "ref_id")
-        return rows.join(parents, "ref_id", "left_anti").select(
-            "event_id",
-            "event_type",
-            "campaign_id",
-            F.lit(parent).alias("ref_type"),
-            "ref_id",
-            F.when(F.col("ref_id").isNull(), F.lit("missing_ref")).otherwise(F.lit("dangling_ref")).alias("reason"),
+        rows = typed.filter(t == child).select(
+            "event_id", "event_type", "campaign_id",
+            F.lit(parent).alias("ref_type"), F.col(ref_col).alias("ref_id"),
         )
+        # rows without a reference need no join, so they are never one hot key of it
+        missing = rows.where(F.col("ref_id").isNull()).withColumn("reason", F.lit("missing_ref"))
+        parents = typed.filter(t == parent).select(F.col("event_id").alias("parent_id"))
+        dangling = (
+            rows.where(F.col("ref_id").isNotNull())
+            .join(parents, F.col("ref_id") == F.col("parent_id"), "left_anti")
+            .withColumn("reason", F.lit("dangling_ref"))
+        )
+        return missing.unionByName(dangling)
 
     return orphans("click", "impression_id", "impression").unionByName(orphans("conversion", "click_id", "click"))
 

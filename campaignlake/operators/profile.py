@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaignlake.schemas import EVENT_TYPES
+from campaignlake.operators.quarantine import quarantine_reason
 
 
 def raw_profile(raw: DataFrame, ordered: bool = False) -> DataFrame:
@@ -42,13 +42,16 @@ def type_counts(typed: DataFrame) -> DataFrame:
     return typed.groupBy("event_type").agg(F.count("*").alias("events"))
 
 
-def layer_counts(raw: DataFrame, typed: DataFrame, quarantined: DataFrame) -> DataFrame:
-    """Conservation check: raw records vs typed events vs quarantined records."""
-    def one(df: DataFrame, layer: str) -> DataFrame:
-        return df.agg(F.count("*").alias("rows")).select(F.lit(layer).alias("layer"), "rows")
-
-    return one(raw, "raw").unionByName(one(typed, "typed")).unionByName(one(quarantined, "quarantine"))
-
-
-def known_types() -> list[str]:
-    return list(EVENT_TYPES)
+def layer_counts(raw: DataFrame, typed: DataFrame) -> DataFrame:
+    """Conservation check: raw records are typed events, quarantined records and
+    the further copies of events (``duplicates``: what is left of raw without the
+    other two). Each table is read once."""
+    of_raw = raw.agg(
+        F.count("*").alias("raw"), F.count_if(quarantine_reason().isNotNull()).alias("quarantine")
+    ).withColumn("typed", F.lit(0).cast("long"))
+    of_typed = typed.agg(F.count("*").alias("typed")).withColumns(
+        {"raw": F.lit(0).cast("long"), "quarantine": F.lit(0).cast("long")}
+    )
+    total = of_raw.unionByName(of_typed).agg(*(F.sum(c).alias(c) for c in ("raw", "typed", "quarantine")))
+    total = total.withColumn("duplicates", F.expr("raw - typed - quarantine"))
+    return total.unpivot([], ["raw", "typed", "quarantine", "duplicates"], "layer", "rows")

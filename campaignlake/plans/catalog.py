@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaignlake.operators import funnel as fn
-from campaignlake.operators.freshness import freshness
+from campaignlake.operators.freshness import freshness, layer_freshness
 from campaignlake.operators.metrics import (
     aggregate_clicks,
     aggregate_conversions,
@@ -149,7 +149,7 @@ def q_quarantine(spark, sf_dir):
 def q_layer_counts(spark, sf_dir):
     lake = Lake(spark, sf_dir)
     raw = lake.raw()
-    return layer_counts(raw, lake.typed(), quarantine(raw))
+    return layer_counts(raw, lake.typed())
 
 
 # -- metrics layer --------------------------------------------------------------
@@ -238,6 +238,14 @@ def q_freshness(spark, sf_dir):
     return _ntz(out, "last_enqueued")
 
 
+def q_layer_freshness(spark, sf_dir):
+    lake = Lake(spark, sf_dir)
+    typed = lake.typed()
+    as_of = F.lit(FRESHNESS_AS_OF).cast("timestamp")
+    out = layer_freshness(lake.raw(), typed, campaign_metrics(typed), as_of=as_of)
+    return _ntz(out.drop("newest_write"), "newest_event")
+
+
 # -- streaming chain ----------------------------------------------------------------
 def _pieces(spark, paths) -> int:
     return -(-input_bytes(spark, paths.source) // BACKFILL_TASK_BYTES)
@@ -286,6 +294,28 @@ def q_stream_metrics_incremental(spark, sf_dir):
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
 
 
+def q_stream_metrics_two_drains(spark, sf_dir):
+    """The topic arrives in two parts. In the first are the records before the middle
+    of its time span, without those of partition 0 (which is late) and second copies;
+    all others come with the second, which refreshes only the days it touches."""
+    lake = Lake(spark, sf_dir)
+    records = lake.topic()
+    root = lake.scratch("stream")
+    paths = LayerPaths.under(root, source=f"{root}/topic")
+    span = records.agg(
+        F.min(F.unix_micros("timestamp")).alias("lo"), F.max(F.unix_micros("timestamp")).alias("hi")
+    ).first()
+    middle = ((span["lo"] or 0) + (span["hi"] or 0)) // 2
+    early = F.coalesce(
+        (F.unix_micros("timestamp") < middle) & (F.col("partition") != 0) & (F.col("offset") % 2 == 0), F.lit(False)
+    )
+    for part in (early, ~early):
+        records.where(part).write.mode("append").parquet(paths.source)
+        run_layers(spark, paths, timeout_seconds=STREAM_TIMEOUT_SECONDS, salt_buckets=_salts(spark, paths),
+                   incremental_metrics=True, state_partitions=_states(spark, paths))
+    return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
+
+
 def q_stream_progress(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     raw_q = start_raw_stream(spark, paths, max_files_per_trigger=4, salt_buckets=_salts(spark, paths))
@@ -332,9 +362,11 @@ QUERIES: dict[str, Query] = {
     "campaign_metrics_enriched": q_campaign_metrics_enriched,
     "advertiser_conflicts": q_advertiser_conflicts,
     "freshness": q_freshness,
+    "layer_freshness": q_layer_freshness,
     "stream_raw": q_stream_raw,
     "stream_typed": q_stream_typed,
     "stream_metrics": q_stream_metrics,
     "stream_metrics_incremental": q_stream_metrics_incremental,
+    "stream_metrics_two_drains": q_stream_metrics_two_drains,
     "stream_progress": q_stream_progress,
 }

@@ -89,9 +89,6 @@ class Lake:
         self.root = (root or scratch_path(spark, "lake", key)).rstrip("/")
 
     # -- inputs ---------------------------------------------------------
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
     def events(self) -> DataFrame:
         return self.spark.read.schema(EVENTS_SCHEMA).parquet(f"{self.sf_dir}/events.parquet")
 

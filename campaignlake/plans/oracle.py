@@ -294,7 +294,8 @@ ORACLE_SQL: dict[str, str] = {
     "layer_counts": _q(
         "SELECT 'raw' AS layer, count(*) AS \"rows\" FROM raw "
         "UNION ALL SELECT 'typed', count(*) FROM typed "
-        "UNION ALL SELECT 'quarantine', count(*) FROM quarantined"
+        "UNION ALL SELECT 'quarantine', count(*) FROM quarantined "
+        "UNION ALL SELECT 'duplicates', CAST(count(event_id) - count(DISTINCT event_id) AS BIGINT) FROM parsed"
     ),
     "impressions_by_campaign": _q("SELECT * FROM metrics_imp"),
     "clicks_by_campaign": _q("SELECT * FROM metrics_clk"),
@@ -385,8 +386,18 @@ ORACLE_SQL: dict[str, str] = {
         "(epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(eh_enqueued_time))) / 60000000 AS staleness "
         "FROM raw GROUP BY 1)"
     ),
+    "layer_freshness": _q(
+        'SELECT layer, "rows", newest_event, ' + sround("staleness", 3) + " AS staleness_minutes, "
+        "staleness <= 30 AS within_sla FROM (SELECT *, "
+        "(epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(newest_event)) / 60000000 AS staleness FROM ("
+        "SELECT 'raw' AS layer, count(*) AS \"rows\", "
+        "max(timezone('UTC', try_cast(event_timestamp AS TIMESTAMPTZ))) AS newest_event FROM raw "
+        "UNION ALL SELECT 'typed', count(*), max(event_timestamp) FROM typed "
+        "UNION ALL SELECT 'metrics', count(*), max(CAST(event_date AS TIMESTAMP)) FROM metrics))"
+    ),
 }
 ORACLE_SQL["stream_raw"] = ORACLE_SQL["raw_projection"]
 ORACLE_SQL["stream_typed"] = ORACLE_SQL["typed_dedup"]
 ORACLE_SQL["stream_metrics"] = ORACLE_SQL["campaign_metrics"]
 ORACLE_SQL["stream_metrics_incremental"] = ORACLE_SQL["campaign_metrics"]
+ORACLE_SQL["stream_metrics_two_drains"] = ORACLE_SQL["campaign_metrics"]

@@ -18,6 +18,7 @@ disk), so a lost executor or driver resumes from the last committed batch.
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,10 +88,20 @@ class LayerRun:
     progress: dict[str, list[dict]] = field(default_factory=dict)
 
 
-def _use_rocksdb_state(spark: SparkSession) -> None:
-    if not spark.conf.get(_STATE_CONF, None):
-        spark.conf.set(_STATE_CONF, _ROCKSDB)
-        spark.conf.set(_CHANGELOG_CONF, "true")
+@contextmanager
+def _session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Settings for a query started inside; the session's own come back after."""
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def start_raw_stream(
@@ -159,14 +170,13 @@ def start_typed_stream(
     applies.  The setting is scoped to this query: a started stream runs on
     its own copy of the session conf, and the session's value is restored.
     """
-    if dedup:
-        _use_rocksdb_state(spark)
     df = typed_stream(spark, paths, single_pass, dedup, max_files_per_trigger, dedup_salt_buckets)
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
+    settings = {}
+    if dedup and not spark.conf.get(_STATE_CONF, None):
+        settings = {_STATE_CONF: _ROCKSDB, _CHANGELOG_CONF: "true"}
     if state_partitions:
-        spark.conf.set(key, str(state_partitions))
-    try:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with _session_conf(spark, settings):
         return start_stream(
             df,
             paths.typed,
@@ -175,8 +185,6 @@ def start_typed_stream(
             fmt=paths.fmt,
             options={"mergeSchema": "true", "delta.enableChangeDataFeed": "true"},
         )
-    finally:
-        spark.conf.set(key, previous)
 
 
 def build_metrics(

@@ -13,7 +13,9 @@ from campaignlake.operators import (
     funnel_linkage,
     funnel_orphans,
     funnel_rates,
+    campaign_metrics,
     layer_counts,
+    layer_freshness,
     line_revenue,
     quarantine,
     raw_profile,
@@ -39,8 +41,11 @@ def test_profiles_and_conservation(spark):
     approx = {r.event_type: r.distinct_events for r in typed_profile(typed, approximate=True).collect()}
     assert approx == {"impression": 1, "click": 1}
     assert rows(type_counts(typed), "event_type", "events") == [("click", 1), ("impression", 1)]
-    counts = dict(rows(layer_counts(raw, typed, quarantine(raw)), "layer", "rows"))
-    assert counts == {"raw": 4, "typed": 2, "quarantine": 1}
+    counts = dict(rows(layer_counts(raw, typed), "layer", "rows"))
+    assert counts == {"raw": 4, "typed": 2, "quarantine": 1, "duplicates": 1}
+    assert quarantine(raw).count() == 1
+    empty = dict(rows(layer_counts(raw.limit(0), typed.limit(0)), "layer", "rows"))
+    assert empty == {"raw": 0, "typed": 0, "quarantine": 0, "duplicates": 0}
 
 
 def test_funnel_links_and_orphans(spark):
@@ -85,3 +90,17 @@ def test_freshness_against_fixed_clock(spark):
     assert (f.records, f.staleness_minutes, f.within_sla) == (1, 20.0, True)
     late = freshness(raw, as_of=F.lit("2024-01-01 13:00:00").cast("timestamp")).first()
     assert late.within_sla is False and f.max_ingest_delay_seconds > 0
+
+
+def test_freshness_of_each_layer(spark):
+    raw = _raw(spark, [event("impression", "i1"), event("click", "c1"), "{bad"])
+    typed = typed_events(raw)
+    newest = typed.agg(F.max("event_timestamp")).first()[0]
+    as_of = F.lit(newest + dt.timedelta(minutes=10))
+    out = {r.layer: r for r in layer_freshness(raw, typed, campaign_metrics(typed), as_of=as_of).collect()}
+    assert {k: r.rows for k, r in out.items()} == {"raw": 3, "typed": 2, "metrics": 1}
+    assert out["raw"].staleness_minutes == out["typed"].staleness_minutes == 10.0
+    assert out["metrics"].newest_event == dt.datetime.combine(newest.date(), dt.time())
+    assert out["typed"].within_sla and all(r.newest_write for r in out.values())
+    none = layer_freshness(raw.limit(0), typed.limit(0), campaign_metrics(typed.limit(0)), as_of=as_of)
+    assert {(r.rows, r.newest_event, r.within_sla) for r in none.collect()} == {(0, None, None)}
