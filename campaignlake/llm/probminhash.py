@@ -14,7 +14,9 @@ shingles with the exact similarity, and links unite texts to classes. Buckets th
 still hold several classes compare the texts outside the largest with more leaders of
 it, and where several classes remain, they are searched without leaders: their texts'
 rarest shingles, of more than ``1 - threshold`` of the weight in sum, are joined,
-which every similar pair must share, and pairs of different classes verified. So no
+which every similar pair must share, and pairs of different classes verified. A pair
+comes from the first of its common shingles; each row carries the ``_BEFORE`` rarest
+that precede its own, and a pair with a common one among them has come already. So no
 link between classes is lost to the choice of leaders, and a passage that many
 texts share doesn't make pairs, as its shingles are not rare.
 
@@ -54,6 +56,7 @@ ROWS = 5
 LEADERS = 6
 _SLICE_CHARS = 1_000_000
 _BROADCAST_ROWS = 500_000
+_BEFORE = 16
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -346,7 +349,9 @@ class NearDuplicates:
             ranked.where(F.coalesce("alone", F.lit(0.0)) <= 1 - self.threshold + 1e-9)
             .repartition("rid")
             .sortWithinPartitions("rid", "count", "shingle")
-            .mapInPandas(_rarest(1 - self.threshold), "rid long, shingle long")
+            .mapInPandas(
+                _rarest(1 - self.threshold), "rid long, shingle long, before array<long>"
+            )
             .join(open_texts, "rid"),
             "prefixes",
         )
@@ -360,14 +365,16 @@ class NearDuplicates:
         )
         member = prefix.join(largest, "shingle")
         stray = member.where("label <> main").select(
-            "shingle", F.col("rid").alias("u"), F.col("label").alias("lu"), F.col("low").alias("au")
-        )
+            "shingle", F.col("rid").alias("u"), F.col("label").alias("lu"),
+            F.col("low").alias("au"), F.col("before").alias("bu"),
+        )
         other = member.select(
             F.col("shingle").alias("same"), F.col("rid").alias("v"), F.col("label").alias("lv"),
-            F.col("low").alias("av"), "main",
+            F.col("low").alias("av"), F.col("before").alias("bv"), "main",
         )
         alike = (F.col("shingle") == F.col("same")) & F.expr("lu <> lv and (lv = main or u < v)")
-        pairs = stray.join(other, alike & self._agree("au", "av"))
+        first = ~F.arrays_overlap("bu", "bv")
+        pairs = stray.join(other, alike & first & self._agree("au", "av"))
         return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
     def labels(self) -> DataFrame:
@@ -420,17 +427,24 @@ class NearDuplicates:
 
 def _rarest(share: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, spent = None, 0.0
+        last, spent, lead = None, 0.0, []
         for frame in frames:
-            keep = []
-            for rid, part, alone in zip(
-                frame["rid"].tolist(), frame["part"].tolist(), frame["alone"].tolist(), strict=True
+            keep, before = [], []
+            for rid, shingle, part, alone in zip(
+                frame["rid"].tolist(),
+                frame["shingle"].tolist(),
+                frame["part"].tolist(),
+                frame["alone"].tolist(),
+                strict=True,
             ):
                 if rid != last:
-                    last, spent = rid, 0.0 if alone != alone or alone is None else alone
+                    last, spent, lead = rid, 0.0 if alone != alone or alone is None else alone, []
                 keep.append(spent <= share + 1e-9)
+                if keep[-1]:
+                    before.append(lead)
+                    lead = [*lead, shingle] if len(lead) < _BEFORE else lead
                 spent += part
-            yield frame.loc[keep, ["rid", "shingle"]]
+            yield frame.loc[keep, ["rid", "shingle"]].assign(before=before)
 
     return run
 
