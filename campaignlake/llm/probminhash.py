@@ -16,9 +16,12 @@ it, and where several classes remain, they are searched without leaders: their t
 rarest shingles, of more than ``1 - threshold`` of the weight in sum, are joined,
 which every similar pair must share, and pairs of different classes verified. A pair
 comes from the first of its common shingles; each row carries the ``_BEFORE`` rarest
-that precede its own, and a pair with a common one among them has come already. So no
-link between classes is lost to the choice of leaders, and a passage that many
-texts share doesn't make pairs, as its shingles are not rare.
+that precede its own, and a pair with a common one among them has come already. These
+texts get ``_FINE`` more registers, of which a bit each is kept, and a pair comes only
+if its bits agree as often as those of similar texts do. So no link between classes is
+lost to the choice of leaders, a passage that many texts share doesn't make pairs, as
+its shingles are not rare, and a group of texts a little below the threshold makes
+few.
 
 Scale: words and registers are computed where rows are read; equal word sequences
 are one class from the start, so large groups of copies are one row in all that
@@ -57,6 +60,8 @@ LEADERS = 6
 _SLICE_CHARS = 1_000_000
 _BROADCAST_ROWS = 500_000
 _BEFORE = 16
+_FINE = 1024
+_FINE_SALT = 0x5851F42D4C957F2D
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -222,6 +227,22 @@ def _prefixes(size: int):
     return run
 
 
+def _fine(size: int):
+    """A bit of each of ``_FINE`` registers drawn apart from those of the bands."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in slices(frames, "text", _SLICE_CHARS):
+            texts = frame["text"].tolist()
+            for a in range(0, len(texts), 200):
+                doc, hashes, times, counts = shingles(texts[a : a + 200], size)
+                content = registers(doc, mix64(hashes ^ _U(_FINE_SALT)), times, len(counts), _FINE)
+                bits = np.packbits((content & 1).astype(np.uint8), axis=1).view(np.int64)
+                rids = frame["rid"].to_numpy()[a : a + 200]
+                yield pd.DataFrame({"rid": rids, "bits": list(bits)})
+
+    return run
+
+
 class NearDuplicates:
     """Classes of one table; the steps share the signed rows."""
 
@@ -231,6 +252,10 @@ class NearDuplicates:
         registers_ = bands * rows
         error = (threshold * (1 - threshold) / registers_) ** 0.5
         self.least = int(registers_ * max(0.0, threshold - 4.5 * error))
+        # bits also agree by chance, half of those whose registers differ
+        bit = (1 + threshold) / 2
+        error = (bit * (1 - bit) / _FINE) ** 0.5
+        self.most_apart = int(_FINE * (1 - bit + 4.5 * error)) + 1
         source = docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             text_digest().alias("digest"),
@@ -271,6 +296,11 @@ class NearDuplicates:
         same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
         return F.aggregate(same, F.lit(0), lambda total, x: total + x) >= self.least
 
+    def _near(self, a: str, b: str):
+        """Whether two columns of fine bits differ seldom enough."""
+        apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        return F.aggregate(apart, F.lit(0), lambda total, x: total + x) <= self.most_apart
+
     def _alike(self, pairs: DataFrame) -> DataFrame:
         """Pairs (u, v) whose registers agree often enough."""
         r = self.texts.select("rid", "registers")
@@ -328,13 +358,12 @@ class NearDuplicates:
 
     def rare_pairs(self, open_texts: DataFrame) -> DataFrame:
         """Pairs of different classes that share a shingle of their rarest and seem alike."""
-        low = F.transform("registers", lambda x: (x.bitwiseAND(255) - 128).cast("tinyint"))
-        small = self.texts.select("rid", low.alias("low"))
-        open_texts = materialize(open_texts.join(small, "rid"), "open-texts")
+        open_texts = materialize(open_texts, "open-texts")
         wanted = open_texts.select("rid")
         if wanted.count() <= _BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
         source = self.signed.select("rid", "text").join(wanted, "rid", "left_semi")
+        fine = materialize(source.mapInPandas(_fine(self.size), "rid long, bits array<long>"), "bits")
         parts = materialize(
             source.mapInPandas(_prefixes(self.size), "rid long, shingle long, part double"),
             "open-shingles",
@@ -352,7 +381,7 @@ class NearDuplicates:
             .mapInPandas(
                 _rarest(1 - self.threshold), "rid long, shingle long, before array<long>"
             )
-            .join(open_texts, "rid"),
+            .join(open_texts.join(fine, "rid"), "rid"),
             "prefixes",
         )
         largest = (
@@ -366,15 +395,15 @@ class NearDuplicates:
         member = prefix.join(largest, "shingle")
         stray = member.where("label <> main").select(
             "shingle", F.col("rid").alias("u"), F.col("label").alias("lu"),
-            F.col("low").alias("au"), F.col("before").alias("bu"),
+            F.col("bits").alias("au"), F.col("before").alias("bu"),
         )
         other = member.select(
             F.col("shingle").alias("same"), F.col("rid").alias("v"), F.col("label").alias("lv"),
-            F.col("low").alias("av"), F.col("before").alias("bv"), "main",
+            F.col("bits").alias("av"), F.col("before").alias("bv"), "main",
         )
         alike = (F.col("shingle") == F.col("same")) & F.expr("lu <> lv and (lv = main or u < v)")
         first = ~F.arrays_overlap("bu", "bv")
-        pairs = stray.join(other, alike & first & self._agree("au", "av"))
+        pairs = stray.join(other, alike & first & self._near("au", "av"))
         return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
     def labels(self) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from campaignlake.llm import block_naming, probminhash
@@ -89,8 +91,6 @@ def test_probability_jaccard_matches_its_definition():
     for _ in range(200):
         a = Counter({k: rng.randint(1, 4) for k in rng.sample(range(12), rng.randint(1, 9))})
         b = Counter({k: rng.randint(1, 4) for k in rng.sample(range(12), rng.randint(1, 9))})
-        import numpy as np
-
         got = probminhash.probability_jaccard(
             *(np.array(x) for c in (a, b) for x in zip(*sorted(c.items()), strict=True))
         )
@@ -134,6 +134,25 @@ def test_no_link_is_lost_in_a_large_bucket(spark):
     assert {r["class_size"] for r in got} == {25}
 
 
+def test_fine_bits_tell_similar_texts_from_others():
+    rng = random.Random(11)
+    words = [f"w{rng.random()}" for _ in range(300)]
+    changed = [*words[:100], "x", *words[101:]]  # five shingles of 296
+    other = [*words[:150], *(f"o{rng.random()}" for _ in range(150))]
+    texts = [" ".join(w) for w in (words, changed, other)]
+    frame = pd.DataFrame({"rid": range(3), "text": texts})
+    (found,) = probminhash._fine(5)(iter([frame]))
+    a, b, c = (np.array(x).view(np.uint64) for x in found["bits"])
+    assert list(found["rid"]) == [0, 1, 2] and len(a) * 64 == probminhash._FINE
+
+    def apart(x, y):
+        return sum(bin(v).count("1") for v in (x ^ y).tolist()) / probminhash._FINE
+
+    # half of the share of registers that differ
+    assert apart(a, b) == pytest.approx((1 - _similarity(*map(_shingles, texts[:2]))) / 2, abs=0.05)
+    assert apart(a, c) == pytest.approx((1 - _similarity(*map(_shingles, texts[::2]))) / 2, abs=0.07)
+
+
 def test_a_shared_passage_makes_no_class(spark):
     rng = random.Random(3)
     passage = " ".join(f"p{k}" for k in range(60))
