@@ -414,11 +414,12 @@ class NearDuplicates:
         open_ = self.open_buckets(buckets, labels)
         if open_.isEmpty():
             return labels
-        links = links.union(self.verify(self.stray_pairs(open_)))
+        # labels stand for the links they come from
+        links = labels.toDF("u", "v").union(self.verify(self.stray_pairs(open_)))
         labels = materialize(components(links), "labels")
         open_ = self.open_buckets(open_.select("bucket", "rid"), labels)
         more = self.verify(self.rare_pairs(open_.select("rid", "label").distinct()), alike=True)
-        return labels if more.isEmpty() else components(links.union(more))
+        return labels if more.isEmpty() else components(labels.toDF("u", "v").union(more))
 
     def classes(self) -> DataFrame:
         """Per row: doc_id, class_id, class_size, kept, and its rid and text digest."""
