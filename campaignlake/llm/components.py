@@ -16,7 +16,7 @@ def _lowest(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v"), F.col("u"))).toDF("u", "v")
     joined = both.join(_lowest(both), "u").where("v > u")
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
