@@ -16,12 +16,12 @@ it, and where several classes remain, they are searched without leaders: their t
 rarest shingles, of more than ``1 - threshold`` of the weight in sum, are joined,
 which every similar pair must share, and pairs of different classes verified. A pair
 comes from the first of its common shingles; each row carries the ``_BEFORE`` rarest
-that precede its own, and a pair with a common one among them has come already. These
-texts get ``_FINE`` more registers, of which a bit each is kept, and a pair comes only
-if its bits agree as often as those of similar texts do. So no link between classes is
-lost to the choice of leaders, a passage that many texts share doesn't make pairs, as
-its shingles are not rare, and a group of texts a little below the threshold makes
-few.
+that precede its own, and a pair with a common one among them has come already. Texts
+with a rare shingle in common with another class get ``_FINE`` more registers, of
+which a bit each is kept, and a pair comes only if its bits agree as often as those of
+similar texts do, less 4.5 standard errors. So the choice of leaders loses no link
+between classes, a passage that many texts share doesn't make pairs, as its shingles
+are not rare, and a group of texts a little below the threshold makes few.
 
 Scale: words and registers are computed where rows are read; equal word sequences
 are one class from the start, so large groups of copies are one row in all that
@@ -283,10 +283,8 @@ class NearDuplicates:
         shared = rows.groupBy("bucket").count().where("count > 1").select("bucket")
         return materialize(rows.join(shared, "bucket"), "buckets")
 
-    def _text_of(self, pairs: DataFrame) -> DataFrame:
-        needed = materialize(
-            pairs.select(F.explode(F.array("u", "v")).alias("rid")).distinct(), "needed"
-        )
+    def _text_of(self, rids: DataFrame) -> DataFrame:
+        needed = materialize(rids.select("rid").distinct(), "needed")
         if needed.count() <= _BROADCAST_ROWS:
             needed = F.broadcast(needed)
         return self.signed.select("rid", "text").join(needed, "rid", "left_semi")
@@ -310,7 +308,7 @@ class NearDuplicates:
     def verify(self, pairs: DataFrame, alike: bool = False) -> DataFrame:
         """The pairs (u, v) whose texts are similar; ``alike``: registers are compared already."""
         pairs = materialize(pairs if alike else self._alike(pairs), "pairs")
-        text = materialize(self._text_of(pairs), "texts")
+        text = materialize(self._text_of(pairs.select(F.explode(F.array("u", "v")).alias("rid"))), "texts")
         both = pairs.join(text.toDF("u", "text_u"), "u").join(text.toDF("v", "text_v"), "v")
         return materialize(
             both.mapInPandas(_verify(self.size, self.threshold), "u long, v long"), "links"
@@ -359,11 +357,7 @@ class NearDuplicates:
     def rare_pairs(self, open_texts: DataFrame) -> DataFrame:
         """Pairs of different classes that share a shingle of their rarest and seem alike."""
         open_texts = materialize(open_texts, "open-texts")
-        wanted = open_texts.select("rid")
-        if wanted.count() <= _BROADCAST_ROWS:
-            wanted = F.broadcast(wanted)
-        source = self.signed.select("rid", "text").join(wanted, "rid", "left_semi")
-        fine = materialize(source.mapInPandas(_fine(self.size), "rid long, bits array<long>"), "bits")
+        source = self._text_of(open_texts)
         parts = materialize(
             source.mapInPandas(_prefixes(self.size), "rid long, shingle long, part double"),
             "open-shingles",
@@ -381,7 +375,7 @@ class NearDuplicates:
             .mapInPandas(
                 _rarest(1 - self.threshold), "rid long, shingle long, before array<long>"
             )
-            .join(open_texts.join(fine, "rid"), "rid"),
+            .join(open_texts, "rid"),
             "prefixes",
         )
         largest = (
@@ -392,7 +386,10 @@ class NearDuplicates:
             .where("classes > 1")
             .select("shingle", F.col("x.label").alias("main"))
         )
-        member = prefix.join(largest, "shingle")
+        member = materialize(prefix.join(largest, "shingle"), "members")
+        bits = self._text_of(member).mapInPandas(_fine(self.size), "rid long, bits array<long>")
+        fine = materialize(bits, "bits")
+        member = member.join(fine, "rid")
         stray = member.where("label <> main").select(
             "shingle", F.col("rid").alias("u"), F.col("label").alias("lu"),
             F.col("bits").alias("au"), F.col("before").alias("bu"),
