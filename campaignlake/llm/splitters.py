@@ -4,7 +4,9 @@ Records are ordered by (doc_id, row). Keys are drawn with a chance in proportion
 their size; quantiles of the draw are the splitters that cut the order into ranges,
 and the records are range-partitioned by them. The exact size of every range is
 then summed, and ranges that hold more than ``OVERFULL`` times their share are cut
-again by a fresh draw inside them, until none is left or a range is one record.
+again by a fresh draw inside them, until none is left or a range is one record. A
+drawn record larger than a share, and the largest record of a range to be cut, get
+a range of their own, so every round cuts every such range.
 Running sizes over the ranges, and over the records inside a range, give every
 record its place in bytes, and the shard is the eighth (n-th) part that the middle
 of the record falls into: neighbouring shards differ by about one record.
@@ -23,6 +25,8 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import count
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -37,17 +41,30 @@ OVERFULL = 2.0
 _KEYED = "doc_id long, row long, size long, text_crc32 long, part int"
 
 
+def _key(doc_id: int | None, row: int) -> tuple:
+    return doc_id is not None, doc_id or 0, row
+
+
 def _draw(records: DataFrame, total: int, wanted: int, seed: int) -> list[tuple]:
-    """Keys drawn with a chance of size * wanted / total, in order."""
+    """(key, size) drawn with a chance of size * wanted / total, in order."""
     chance = F.least(F.lit(1.0), F.col("size") * F.lit(wanted / max(total, 1)))
     lot = F.pmod(F.xxhash64("row", "doc_id", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    rows = records.where(lot < chance).select("doc_id", "row").collect()
-    return sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["row"]) for r in rows)
+    rows = records.where(lot < chance).select("doc_id", "row", "size").collect()
+    return sorted((_key(r["doc_id"], r["row"]), r["size"]) for r in rows)
+
 
+def _around(key: tuple) -> tuple[tuple, tuple]:
+    """The cuts right before and after a record."""
+    return key, (*key[:2], key[2] + 1)
 
-def _quantiles(keys: list[tuple], ranges: int) -> list[tuple]:
-    cuts = {keys[k * len(keys) // ranges] for k in range(1, ranges)} if keys else set()
-    return sorted(cuts)
+
+def _cuts(drawn: list[tuple], ranges: int, share: float) -> set[tuple]:
+    """Quantiles of a draw, and the cuts around its records larger than a share."""
+    cuts = {drawn[k * len(drawn) // ranges][0] for k in range(1, ranges)} if drawn else set()
+    for key, size in drawn:
+        if size > share:
+            cuts.update(_around(key))
+    return cuts
 
 
 def _assign(cuts: list[tuple]):
@@ -105,30 +122,32 @@ def shard_by_size(
     )
     total = records.agg(F.sum("size")).first()[0] or 1
     ranges = max(2 * shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = _quantiles(_draw(records, total, sample, 0), ranges)
     share = total / ranges
-    for seed in range(1, 9):
+    cuts = sorted(_cuts(_draw(records, total, sample, 0), ranges, share))
+    largest = F.max(F.struct("size", "doc_id", "row")).alias("largest")
+    for seed in count(1):
         keyed = records.mapInPandas(_assign(cuts), _KEYED)
-        sums = {
-            r["part"]: (r["bytes"], r["n"])
-            for r in keyed.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
-        }
-        wide = {p: b for p, (b, n) in sums.items() if b > overfull * share and n > 1}
+        found = keyed.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), largest)
+        sums, wide = {}, {}
+        for r in found.collect():
+            sums[r["part"]] = r["bytes"]
+            if r["bytes"] > overfull * share and r["n"] > 1:
+                wide[r["part"]] = _key(r["largest"]["doc_id"], r["largest"]["row"])
         if not wide:
             break
         inside = keyed.where(F.col("part").isin(sorted(wide)))
-        keys = _draw(inside, sum(wide.values()), sample, seed)
+        own = {p: [] for p in wide}
+        for key, size in _draw(inside, sum(sums[p] for p in wide), sample, seed):
+            own[bisect_right(cuts, key)].append((key, size))
         more = set(cuts)
-        for p, size in wide.items():
-            own = [k for k in keys if bisect_right(cuts, k) == p]
-            more.update(_quantiles(own, min(len(own), -(-size // int(share)))))
-        if len(more) == len(cuts):
-            break
+        for p, key in wide.items():
+            more.update(_around(key))
+            more.update(_cuts(own[p], min(len(own[p]), ceil(sums[p] / share)), share))
         cuts = sorted(more)
     before, at = {}, 0
     for p in sorted(sums):
         before[p] = at
-        at += sums[p][0]
+        at += sums[p]
     placed = (
         records.mapInPandas(_assign(cuts), _KEYED)
         .repartitionByRange(len(sums) or 1, "part")

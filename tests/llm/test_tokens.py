@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from campaignlake.llm import range_coder, splitters, token_files, vector_packing
@@ -189,3 +190,24 @@ def test_shards_are_near_equal_and_gapless(spark):
     ids = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in order]
     assert ids == sorted(ids)
     assert splitters.shard_by_size(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_dozens_of_very_large_records_are_sharded(spark):
+    large = 40
+    frame = spark.range(0, 4000, 1, 4).select(
+        "id", F.when(F.col("id") % (4000 // large) == 7, 60_000).otherwise(F.lit(1) + F.col("id") % 19).alias("n")
+    )
+    frame = frame.select(F.col("id").alias("doc_id"), F.expr("repeat('x', int(n))").alias("text"))
+    spark.conf.set("spark.sql.shuffle.partitions", 200)
+    try:
+        got = splitters.shard_by_size(frame, sample=300).orderBy("doc_id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    sizes = [60_001 if k % (4000 // large) == 7 else 2 + k % 19 for k in range(4000)]
+    total, at, slots = sum(sizes), 0, defaultdict(int)
+    assert [(r["doc_id"], r["size"]) for r in got] == list(enumerate(sizes))
+    for r in got:  # the shard that the record's middle falls into
+        shard = (2 * at + r["size"]) * 8 // (2 * total)
+        assert (r["shard"], r["slot"]) == (shard, slots[shard])
+        slots[shard] += 1
+        at += r["size"]
