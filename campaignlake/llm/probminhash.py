@@ -228,7 +228,12 @@ def _prefixes(size: int):
 
 
 def _fine(size: int):
-    """A bit of each of ``_FINE`` registers drawn apart from those of the bands."""
+    """A bit of each of ``_FINE`` registers drawn apart from those of the bands.
+
+    A shingle has a bit of its own in each register, so that bits of registers that
+    differ are independent also where few shingles hold them.
+    """
+    lots = np.arange(_FINE, dtype=_U) * _STEP
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, "text", _SLICE_CHARS):
@@ -236,7 +241,8 @@ def _fine(size: int):
             for a in range(0, len(texts), 200):
                 doc, hashes, times, counts = shingles(texts[a : a + 200], size)
                 content = registers(doc, mix64(hashes ^ _U(_FINE_SALT)), times, len(counts), _FINE)
-                bits = np.packbits((content & 1).astype(np.uint8), axis=1).view(np.int64)
+                ones = (mix64(content.astype(_U) + lots) & _U(1)).astype(np.uint8)
+                bits = np.packbits(ones, axis=1).view(np.int64)
                 rids = frame["rid"].to_numpy()[a : a + 200]
                 yield pd.DataFrame({"rid": rids, "bits": list(bits)})
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from campaignlake.llm import block_naming, probminhash
 from campaignlake.llm.common import word_bytes
@@ -153,6 +154,34 @@ def test_fine_bits_tell_similar_texts_from_others():
     assert apart(a, c) == pytest.approx((1 - _similarity(*map(_shingles, texts[::2]))) / 2, abs=0.07)
 
 
+def test_rare_pairs_keep_similar_texts_of_few_shingles(spark):
+    rng = random.Random(17)
+    rows = []
+
+    def words(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    def add(*texts):
+        at = len(rows)
+        rows.extend((at + k, " ".join(t)) for k, t in enumerate(texts))
+
+    for _ in range(25):
+        for short, more in ((8, 1), (9, 1), (12, 2), (13, 2), (16, 3), (20, 4), (25, 5), (25, 4)):
+            text = words(short)
+            add(text, text + words(more))
+        sentence = words(5)
+        add(sentence * 3, [*(sentence * 3)[:-1], *words(1)])
+        add(sentence * 12, sentence * 6 + words(5))
+    sets = [_shingles(t) for _, t in rows]
+    want = {(k, k + 1) for k in range(0, len(rows), 2) if _similarity(sets[k], sets[k + 1]) >= 0.8 - 1e-9}
+    assert len(want) >= 200 and all(_similarity(*(sets[x] for x in p)) < 0.87 for p in want)
+    found = probminhash.NearDuplicates(spark.createDataFrame(rows, DOCS))
+    own = found.signed.select("rid", "doc_id").collect()
+    ids = {r["rid"]: r["doc_id"] for r in own}
+    pairs = found.rare_pairs(found.texts.select("rid", F.col("rid").alias("label"))).collect()
+    assert want <= {tuple(sorted((ids[r["u"]], ids[r["v"]]))) for r in pairs}
+
+
 def test_a_shared_passage_makes_no_class(spark):
     rng = random.Random(3)
     passage = " ".join(f"p{k}" for k in range(60))
