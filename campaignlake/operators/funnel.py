@@ -23,9 +23,22 @@ EXPECTED_CTR = 0.02
 EXPECTED_CVR = 0.05
 
 
-def _revenue_sum(c, double_sums: bool):
-    # kept in decimal across both aggregation steps so the total is exact
-    return F.sum(c) if double_sums else F.sum(c.try_cast(MONEY))
+def _revenue_parts(c) -> list:
+    # decimal and double sum and the count of values without decimal form, kept
+    # across both aggregation steps, so that the total is the one of money_sum
+    form = c.try_cast(MONEY)
+    return [
+        F.sum(form).alias("exact"),
+        F.sum(c).alias("doubles"),
+        F.count_if(c.isNotNull() & form.isNull()).alias("odd"),
+    ]
+
+
+def _revenue_total(double_sums: bool):
+    doubles = F.sum("linked_doubles")
+    if double_sums:
+        return doubles
+    return F.when(F.sum("linked_odd") > 0, doubles).otherwise(F.sum("linked_exact").cast("double"))
 
 
 def _ids(typed: DataFrame, event_type: str, as_name: str) -> DataFrame:
@@ -53,11 +66,11 @@ def funnel_linkage(typed: DataFrame, double_sums: bool = False) -> DataFrame:
     conversions = (
         typed.filter(t == "conversion")
         .groupBy("campaign_id", "click_id")
-        .agg(F.count("*").alias("n"), _revenue_sum(F.col("revenue"), double_sums).alias("rev"))
+        .agg(F.count("*").alias("n"), *_revenue_parts(F.col("revenue")))
         .join(_ids(typed, "click", "click_id").withColumn("hit", F.lit(True)), "click_id", "left")
         .select("campaign_id", F.col("n").alias("conversions"),
                 F.when(F.col("hit"), F.col("n")).otherwise(0).alias("linked_conversions"),
-                F.when(F.col("hit"), F.col("rev")).alias("linked_revenue"))
+                *(F.when(F.col("hit"), F.col(c)).alias(f"linked_{c}") for c in ("exact", "doubles", "odd")))
     )
     impressions = typed.filter(t == "impression").groupBy("campaign_id").agg(F.count("*").alias("impressions"))
     parts = [impressions, clicks, conversions]
@@ -68,9 +81,7 @@ def funnel_linkage(typed: DataFrame, double_sums: bool = False) -> DataFrame:
         F.coalesce(F.sum("linked_clicks"), F.lit(0)).alias("linked_clicks"),
         F.coalesce(F.sum("conversions"), F.lit(0)).alias("conversions"),
         F.coalesce(F.sum("linked_conversions"), F.lit(0)).alias("linked_conversions"),
-        F.coalesce(_revenue_sum(F.col("linked_revenue"), double_sums).cast("double"), F.lit(0.0)).alias(
-            "linked_revenue"
-        ),
+        F.coalesce(_revenue_total(double_sums), F.lit(0.0)).alias("linked_revenue"),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from conftest import records
 from helpers import event, rows
@@ -104,3 +105,21 @@ def test_freshness_of_each_layer(spark):
     assert out["typed"].within_sla and all(r.newest_write for r in out.values())
     none = layer_freshness(raw.limit(0), typed.limit(0), campaign_metrics(typed.limit(0)), as_of=as_of)
     assert {(r.rows, r.newest_event, r.within_sla) for r in none.collect()} == {(0, None, None)}
+
+
+def test_funnel_linkage_sums_revenues_without_decimal_form(spark):
+    revenues = {
+        "fits": [0.1, 0.2, None], "large": [1.0, 2e28], "nan": [1.0, float("nan")], "inf": [float("inf"), 5.0],
+        "unlinked": [3.0],
+    }
+    data = []
+    for c, values in revenues.items():
+        data += [("click", f"{c}-{k}", c, None, None) for k in range(len(values))]
+        data += [("conversion", f"{c}-v{k}", c, f"{c}-{k}", v) for k, v in enumerate(values)]
+    data.append(("conversion", "u", "unlinked", "no click", 1e30))
+    typed = spark.createDataFrame(
+        data, "event_type string, event_id string, campaign_id string, click_id string, revenue double"
+    ).withColumn("impression_id", F.lit(None).cast("string"))
+    got = {r.campaign_id: r.linked_revenue for r in funnel_linkage(typed).collect()}
+    assert math.isnan(got.pop("nan"))
+    assert got == {"fits": 0.3, "large": 2e28, "inf": math.inf, "unlinked": 3.0}
