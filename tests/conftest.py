@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 
@@ -8,11 +7,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from campaignlake.schemas import KAFKA_SCHEMA  # noqa: E402
 from campaignlake.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -29,13 +25,3 @@ def scratch(spark):
     from campaignlake.session import scratch_path
 
     return scratch_path(spark, "tests", unique=True)
-
-
-def records(spark, payloads, start_offset=0, partition=0, ts=None):
-    """Kafka-shaped rows carrying the given payload strings."""
-    ts = ts or dt.datetime(2024, 1, 1, 12, 0, 0)
-    rows = [
-        (None, p.encode() if p is not None else None, "ad-events", partition, start_offset + i, ts, 0)
-        for i, p in enumerate(payloads)
-    ]
-    return spark.createDataFrame(rows, KAFKA_SCHEMA)

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import records
-from helpers import event, rows
+from helpers import event, records, rows
 from pyspark.sql import functions as F
 
 from campaignlake.operators import (

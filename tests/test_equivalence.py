@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

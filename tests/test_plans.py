@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 from campaignlake.operators import (

@@ -3,8 +3,7 @@ metrics; the two parse plans agree on arbitrary payload shapes."""
 
 from __future__ import annotations
 
-from conftest import records
-from helpers import event
+from helpers import event, records
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import records
-from helpers import event
+from helpers import event, records
 
 from campaignlake.operators import to_raw
 from campaignlake.schemas import KAFKA_SCHEMA, RAW_COLUMNS, RAW_SCHEMA

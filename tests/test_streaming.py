@@ -3,8 +3,7 @@ survives runs."""
 
 from __future__ import annotations
 
-from conftest import SF_SMALL, records
-from helpers import event
+from helpers import SF_SMALL, event, records
 
 from campaignlake.plans.lake import Lake
 from campaignlake.schemas import METRICS_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, TYPED_COLUMNS, TYPED_SCHEMA
