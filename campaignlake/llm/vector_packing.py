@@ -63,6 +63,7 @@ class Packer:
     max_loss: int = CAPACITY
     pool_size: int = POOL
     pool: list[tuple[Document, int, int]] = field(default_factory=list)
+    held: int = 0  # tokens in the pool
 
     def add(self, document: Document) -> None:
         total, at = len(document.ids) // 4, 0
@@ -74,8 +75,10 @@ class Packer:
         while at < total:
             size = self._most(document, at, min(total - at, self.capacity))
             self.pool.append((document, at, size))
+            self.held += size
             at += size
-        while len(self.pool) >= self.pool_size:
+        # short of a sequence's worth the pool grows, to less than ``capacity`` pieces more
+        while len(self.pool) >= self.pool_size and self.held >= self.capacity:
             self.pack(len(self.pool) // 2)
 
     def _most(self, document: Document, at: int, size: int) -> int:
@@ -115,6 +118,7 @@ class Packer:
                 loss_room -= int(loss[best])
             self.emit(sequence)
         self.pool = [p for p, kept in zip(self.pool, left.tolist(), strict=True) if kept]
+        self.held = sum(p[2] for p in self.pool)
 
     def _cut(self, tokens, loss, left, score, room, loss_room):
         """Cut the best piece to fill ``room``; the rest stays in the pool."""
@@ -132,7 +136,7 @@ class Packer:
     def finish(self) -> None:
         self.pack(0)
         rest = [p for p in self.pool if p[2]]
-        self.pool = []
+        self.pool, self.held = [], 0
         while rest:  # sequences of 2^k tokens, the largest first
             total, loss_room = sum(p[2] for p in rest), self.max_loss
             room = min(1 << (total.bit_length() - 1), self.capacity)

@@ -135,6 +135,23 @@ def test_packing_covers_every_id_once(spark):
     assert vector_packing.pack_documents(spark.createDataFrame([], DOCS), DROPPING).count() == 0
 
 
+def test_packer_ends_on_many_small_pieces(spark):
+    for pool_size in (8, 1024):
+        sequences = []
+        packer = vector_packing.Packer(sequences.append, pool_size=pool_size)
+        for k in range(5000):
+            packer.add(vector_packing.Document(k, bytes(4)))
+            assert len(packer.pool) <= pool_size + vector_packing.CAPACITY
+        packer.finish()
+        assert sorted(d.doc_id for s in sequences for d, _, _ in s) == list(range(5000))
+    frame = spark.createDataFrame([(k, None, 7) for k in range(5000)], DOCS + ", length int").coalesce(1)
+    pieces = vector_packing.pack_documents(frame, DROPPING).collect()
+    assert sorted(r["doc_id"] for r in pieces) == list(range(5000))
+    for part in _sequences(pieces).values():
+        used = sum(r["length"] for r in part)
+        assert used == 2048 or used & (used - 1) == 0
+
+
 def test_packer_keeps_all_limits_and_pads_little():
     rng = np.random.default_rng(4)
     sequences = []
