@@ -10,6 +10,7 @@ from campaignlake.llm import (
     backoff_langid,
     block_naming,
     chat_prefix,
+    fim_boundaries,
     mincut_html,
     probminhash,
     splitters,
@@ -84,6 +85,20 @@ def op10_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), path)
 
 
+def op11_roaring_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim_boundaries.fill_in_middle(table(spark, sf_dir, "documents"))
+    text = fim_boundaries.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,5 +112,6 @@ QUERIES = {
         op8_mincut_html,
         op9_sampled_splitters,
         op10_range_coder,
+        op11_roaring_fim,
     )
 }

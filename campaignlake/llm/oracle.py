@@ -66,4 +66,24 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, r) = 1 AS kept,
        sha256(t) AS text_sha256
 FROM d WINDOW g AS (PARTITION BY t)""",
+    "op11_roaring_fim": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+g AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) % (length(t) + 1) AS c1,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (length(t) + 1) AS c2,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+              OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+         WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b FROM g),
+p AS (
+  SELECT *, substr(t, 1, a) AS head, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS tail FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || head || '<S>' || tail || '<M>' || mid
+         ELSE '<S>' || tail || '<P>' || head || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p""",
 }

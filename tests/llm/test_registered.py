@@ -39,7 +39,7 @@ def test_every_operator_is_registered():
 
     names = __spark_entry__.queries()
     assert {*QUERIES, "pipeline"} <= set(names)
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline_is_its_operators_in_turn(spark):
