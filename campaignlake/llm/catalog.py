@@ -10,6 +10,7 @@ from campaignlake.llm import (
     backoff_langid,
     block_naming,
     chat_prefix,
+    collocations,
     fim_boundaries,
     mincut_html,
     probminhash,
@@ -99,6 +100,10 @@ def op11_roaring_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_misra_gries_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -113,5 +118,6 @@ QUERIES = {
         op9_sampled_splitters,
         op10_range_coder,
         op11_roaring_fim,
+        op13_misra_gries_phrases,
     )
 }

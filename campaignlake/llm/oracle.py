@@ -86,4 +86,34 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
          ELSE '<S>' || tail || '<P>' || head || '<M>' || mid END) AS output_sha256,
   sha256(t) AS restored_sha256
 FROM p""",
+    "op13_misra_gries_phrases": f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM pieces),
+grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2),
+         lambda p: array_to_string(ws[p : p + size - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3]) AS size) WHERE len(ws) >= size),
+f AS (
+  SELECT lang, size, phrase, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY ALL HAVING size = 1 OR count(*) >= 10),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1),
+cuts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(ws[1 : k], ' ') AS lp, array_to_string(ws[k + 1 :], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+s AS (
+  SELECT cuts.lang, cuts.phrase, a, x.f AS l, y.f AS r, k,
+         CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lp JOIN f y ON y.lang = cuts.lang AND y.phrase = rp
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS longest FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS phrase
+    FROM c WHERE size = 3) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM s LEFT JOIN longer ON longer.lang = s.lang AND longer.phrase = s.phrase
+  WHERE longest IS NULL OR 100 * longest < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
 }
