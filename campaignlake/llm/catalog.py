@@ -13,6 +13,7 @@ from campaignlake.llm import (
     collocations,
     fim_boundaries,
     mincut_html,
+    pii_boosting,
     probminhash,
     splitters,
     token_files,
@@ -100,6 +101,12 @@ def op11_roaring_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_boosting.personal_data(table(spark, sf_dir, "documents"))
+    counts = [pii_boosting.count_of(kind).alias(f"n_{kind}") for kind in pii_boosting.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op13_misra_gries_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -118,6 +125,7 @@ QUERIES = {
         op9_sampled_splitters,
         op10_range_coder,
         op11_roaring_fim,
+        op12_boosted_pii,
         op13_misra_gries_phrases,
     )
 }

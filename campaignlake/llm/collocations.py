@@ -47,7 +47,7 @@ FILTER_BITS = 1 << 28
 _BITS_EACH = 32
 _FEWEST_BITS = 1 << 10
 _SLICE_CHARS = 4_000_000
-_SALTS = (256, 16, 1)
+_SALTS = (256, 32, 4, 1)
 
 # A-Z to a-z, the marks that end a piece to line feeds, tabs to blanks
 _FOLDED = bytes(
@@ -57,6 +57,26 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TURNS = tuple(np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 
 
+_LETTERS_AT_ONCE = 64
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: the polynomial of a word's bytes, mixed with its length.
+
+    Goes letter by letter over all words, so that it holds numbers per word, not per byte.
+    """
+    sums, alive, power = np.zeros(len(starts), np.uint64), np.arange(len(starts)), np.uint64(1)
+    for k in range(min(_LETTERS_AT_ONCE, int(lengths.max()))):
+        alive = alive[lengths[alive] > k]
+        sums[alive] += data[starts[alive] + k] * power
+        power *= _BASE
+    for k in np.flatnonzero(lengths > _LETTERS_AT_ONCE).tolist():  # the few long ones
+        rest = data[starts[k] + _LETTERS_AT_ONCE : starts[k] + lengths[k]].astype(np.uint64)
+        rest[0] *= power
+        sums[k] += (rest * np.cumprod(np.full(len(rest), _BASE, np.uint64))).sum(dtype=np.uint64)
+    return mix64(sums + lengths.astype(np.uint64) * _TURNS[0])
+
+
 class Words:
     """The words of texts of one language, with their pieces, as arrays."""
 
@@ -70,13 +90,7 @@ class Words:
             self.piece = self.code = self.hashes = np.zeros(0, np.int64)
             return
         self.piece = np.cumsum(data == 10, dtype=np.int32)[self.starts]
-        lengths = self.ends - self.starts
-        # a word's hash: the polynomial of its bytes, mixed with its length
-        powers = np.cumprod(np.full(int(lengths.max()), _BASE, np.uint64))
-        first = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-        sums = np.add.reduceat(data[inside].astype(np.uint64) * powers[place], first)
-        hashed = mix64(sums + lengths.astype(np.uint64) * _TURNS[0])
+        hashed = _hashes(data, self.starts, self.ends - self.starts)
         # codes number the distinct words of the slice
         self.hashes, self.sample, self.code = np.unique(hashed, return_index=True, return_inverse=True)
 
@@ -264,11 +278,11 @@ def _count(shared):
                 if size > 1:
                     kept = np.flatnonzero(bitmaps.holds(words.names(phrases, lang)))
                     phrases, times = phrases[kept], times[kept]
-                for a in range(0, len(phrases), 200_000):
-                    rows = phrases[a : a + 200_000].tolist()
+                for a in range(0, len(phrases), 50_000):
+                    rows = phrases[a : a + 50_000].tolist()
                     said = [b" ".join([spelled[c] for c in row]).decode() for row in rows]
                     yield pd.DataFrame(
-                        {"lang": lang, "size": size, "phrase": said, "times": times[a : a + 200_000]}
+                        {"lang": lang, "size": size, "phrase": said, "times": times[a : a + 50_000]}
                     )
 
     return run
