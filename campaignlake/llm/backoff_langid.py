@@ -6,7 +6,7 @@ the model: five characters, else four, and so on to one. A text's languages are
 weighed by the sum over its words.
 
 Fit: word and n-gram counts of at most about ``SAMPLE`` training texts of each
-language (drawn by a hash of doc_id; the bound of the model's size). Words seen
+language (drawn by a hash of doc_id and text; the bound of the model's size). Words seen
 once are left to the n-grams. Scale: the sample is counted in Spark and collected;
 every text is scored where it is read, with a table of bounded size for the words
 of a task. Language, source and doc_id are no inputs of a score.
@@ -28,11 +28,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campaignlake.llm.common import slices, text_digest
+from campaignlake.llm.common import slices, text_digest, tidy
 
 SAMPLE = 500
 LONGEST = 5
-_KNOWN_WORDS = 600_000
+_KNOWN_WORDS = 400_000
 _SLICE_CHARS = 2_000_000
 UNKNOWN = "und"
 
@@ -144,14 +144,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> BackoffModel:
         & ~F.coalesce(held_out(F.col("doc_id")), F.lit(False))
     )
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    lot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     chance = F.lit(0.0)
     for lang, n in sizes.items():
         chance = F.when(F.col("lang") == lang, F.lit(sample / n)).otherwise(chance)
     counted = (
         rows.where(lot < chance)
         .select("lang", "text")
-        .mapInPandas(_count, "lang string, n int, gram string, times long")
+        .mapInPandas(tidy(_count), "lang string, n int, gram string, times long")
         .groupBy("lang", "n", "gram")
         .agg(F.sum("times").alias("times"))
     )
@@ -186,7 +186,7 @@ def _predict(model, key: str):
                 }
             ).astype({"doc_id": "Int64"})
 
-    return run
+    return tidy(run)
 
 
 def identify(docs: DataFrame, model: BackoffModel) -> DataFrame:

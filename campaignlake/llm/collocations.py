@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campaignlake.llm.common import materialize, mix64, slices, utf8
+from campaignlake.llm.common import materialize, mix64, slices, tidy, utf8
 
 LEAST = 10
 SUBSUMED_PERCENT = 50
@@ -46,7 +46,7 @@ PARTITION_CHARS = 8_000_000
 FILTER_BITS = 1 << 28
 _BITS_EACH = 32
 _FEWEST_BITS = 1 << 10
-_SLICE_CHARS = 4_000_000
+_SLICE_CHARS = 6_000_000
 _SALTS = (256, 32, 4, 1)
 
 # A-Z to a-z, the marks that end a piece to line feeds, tabs to blanks
@@ -174,7 +174,7 @@ def _summaries(parts: int):
                 )
             yield pd.DataFrame(rows, columns=["part", "mass", "once", "often", "times"])
 
-    return run
+    return tidy(run)
 
 
 class Summary:
@@ -285,7 +285,7 @@ def _count(shared):
                         {"lang": lang, "size": size, "phrase": said, "times": times[a : a + 50_000]}
                     )
 
-    return run
+    return tidy(run)
 
 
 def phrase_counts(

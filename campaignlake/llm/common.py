@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -11,6 +13,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +32,19 @@ WORD_BYTES = bytes(
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
+_BATCH_ROWS = 2000
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package (once per context), wherever they start.
 
     Spark's own file distribution sends it; the archive is a driver-side file only.
+    Batches to Python have ``_BATCH_ROWS`` rows at most: rows here are whole texts.
     """
     sc = spark.sparkContext
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= _BATCH_ROWS:
+        spark.conf.set(rows, _BATCH_ROWS)
     if getattr(sc, "_campaignlake_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -122,6 +132,23 @@ def without_rows(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     return docs.join(bad, match, "left_anti")
 
 
+def tidy(run):
+    """``run`` over batches, and the worker's free memory given back when the task ends.
+
+    Workers serve the tasks of all stages; allocators keep what a large task freed.
+    """
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no trim
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 bytes of a text; null is empty."""
     return text.encode("utf-8", "surrogatepass") if text else b""

@@ -8,9 +8,11 @@ the latest first hit of a text change nothing, which ends its drawing early. Two
 texts agree on a register with a chance of their probability Jaccard similarity.
 
 Registers are banded. In a bucket every text is compared with the bucket's leader,
-a different one in each band, so a bucket costs as many pairs as it has texts. Pairs
-whose registers agree too seldom are set aside, the others are verified on their
-shingles with the exact similarity, and links unite texts to classes. Buckets that
+a different one in each band, so a bucket costs as many pairs as it has texts. This
+goes in two rounds: the ``FIRST_BANDS`` bands unite most texts that belong together, and
+of all bands only pairs of different classes follow, as a link inside a class adds
+nothing. Pairs whose registers agree too seldom are set aside, the others are verified
+on their shingles with the exact similarity, and links unite texts to classes. Buckets that
 still hold several classes compare the texts outside the largest with more leaders of
 it, and where several classes remain, they are searched without leaders: their texts'
 rarest shingles, of more than ``1 - threshold`` of the weight in sum, are joined,
@@ -48,6 +50,7 @@ from campaignlake.llm.common import (
     slices,
     staying_rows,
     text_digest,
+    tidy,
     word_hashes,
 )
 from campaignlake.llm.components import components
@@ -56,6 +59,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 ROWS = 5
+FIRST_BANDS = 4
 LEADERS = 6
 _SLICE_CHARS = 1_000_000
 _BROADCAST_ROWS = 500_000
@@ -181,7 +185,7 @@ def _sign(size: int, count: int):
             ).astype({"doc_id": "Int64"})
             rid += len(texts)
 
-    return run
+    return tidy(run)
 
 
 def _verify(size: int, threshold: float):
@@ -208,7 +212,7 @@ def _verify(size: int, threshold: float):
             good = np.array(likeness) >= threshold - 1e-9
             yield frame.loc[good, ["u", "v"]]
 
-    return run
+    return tidy(run)
 
 
 def _prefixes(size: int):
@@ -224,7 +228,7 @@ def _prefixes(size: int):
                 }
             )
 
-    return run
+    return tidy(run)
 
 
 def _fine(size: int):
@@ -246,7 +250,7 @@ def _fine(size: int):
                 rids = frame["rid"].to_numpy()[a : a + 200]
                 yield pd.DataFrame({"rid": rids, "bits": list(bits)})
 
-    return run
+    return tidy(run)
 
 
 class NearDuplicates:
@@ -280,12 +284,13 @@ class NearDuplicates:
         )
 
     def buckets(self) -> DataFrame:
-        """(bucket, rid) of every bucket of two texts or more."""
+        """(bucket, rid, first) of every bucket of two texts or more; first: of a first band."""
         keys = [
             F.xxhash64(F.lit(k), F.slice("registers", k * self.rows + 1, self.rows))
             for k in range(self.bands)
         ]
-        rows = self.texts.select(F.explode(F.array(*keys)).alias("bucket"), "rid")
+        rows = self.texts.select(F.posexplode(F.array(*keys)).alias("band", "bucket"), "rid")
+        rows = rows.select("bucket", "rid", (F.col("band") < FIRST_BANDS).alias("first"))
         shared = rows.groupBy("bucket").count().where("count > 1").select("bucket")
         return materialize(rows.join(shared, "bucket"), "buckets")
 
@@ -320,22 +325,24 @@ class NearDuplicates:
             both.mapInPandas(_verify(self.size, self.threshold), "u long, v long"), "links"
         )
 
-    def leader_pairs(self, buckets: DataFrame) -> DataFrame:
-        lot = F.struct(F.xxhash64("bucket", "rid").alias("lot"), F.col("rid").alias("leader"))
-        leaders = buckets.groupBy("bucket").agg(F.min(lot).alias("x")).select("bucket", "x.leader")
-        pairs = buckets.join(leaders, "bucket").where("rid <> leader")
+    def leader_pairs(self, placed: DataFrame) -> DataFrame:
+        """Texts (bucket, rid, label) with their bucket's leader, where its class is another."""
+        lot = F.struct(F.xxhash64("bucket", "rid").alias("lot"), F.col("rid").alias("leader"), "label")
+        leaders = placed.groupBy("bucket").agg(F.min(lot).alias("x"))
+        leaders = leaders.select("bucket", "x.leader", F.col("x.label").alias("of"))
+        pairs = placed.join(leaders, "bucket").where("label <> of")
         return pairs.select(
             F.least("rid", "leader").alias("u"), F.greatest("rid", "leader").alias("v")
         ).distinct()
 
+    def placed(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
+        """(bucket, rid, label): the buckets with the class that each text has by now."""
+        placed = buckets.join(labels.toDF("rid", "label"), "rid", "left")
+        return materialize(placed.select("bucket", "rid", F.coalesce("label", "rid").alias("label")), "placed")
+
     def open_buckets(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
         """(bucket, rid, label, main) of buckets of several classes; main is the largest."""
-        placed = materialize(
-            buckets.join(labels.toDF("rid", "label"), "rid", "left").select(
-                "bucket", "rid", F.coalesce("label", "rid").alias("label")
-            ),
-            "placed",
-        )
+        placed = self.placed(buckets, labels)
         several = (
             placed.groupBy("bucket", "label")
             .count()
@@ -412,12 +419,14 @@ class NearDuplicates:
     def labels(self) -> DataFrame:
         """(node, label) of the texts that have a link."""
         buckets = self.buckets()
-        links = self.verify(self.leader_pairs(buckets))
-        labels = components(links)
+        apart = buckets.where("first").select("bucket", "rid", F.col("rid").alias("label"))
+        labels = components(self.verify(self.leader_pairs(apart)))
+        links = self.verify(self.leader_pairs(self.placed(buckets, labels)))
+        if not links.isEmpty():  # labels stand for the links they come from
+            labels = components(labels.toDF("u", "v").union(links))
         open_ = self.open_buckets(buckets, labels)
         if open_.isEmpty():
             return labels
-        # labels stand for the links they come from
         links = labels.toDF("u", "v").union(self.verify(self.stray_pairs(open_)))
         labels = materialize(components(links), "labels")
         open_ = self.open_buckets(open_.select("bucket", "rid"), labels)
@@ -477,9 +486,10 @@ def _rarest(share: float):
                     before.append(lead)
                     lead = [*lead, shingle] if len(lead) < _BEFORE else lead
                 spent += part
-            yield frame.loc[keep, ["rid", "shingle"]].assign(before=before)
+            if before:
+                yield frame.loc[keep, ["rid", "shingle"]].assign(before=before)
 
-    return run
+    return tidy(run)
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:

@@ -32,8 +32,9 @@ def stretches(text: str, keep_blanks: bool) -> list[str]:
     return _KEEPING.findall(text) if keep_blanks else text.split()
 
 
-_TABLE_ENTRIES = 1_000_000
+_TABLE_ENTRIES = 500_000
 _LONGEST_ENTRY = 64
+_ENCODED_AT_ONCE = 8192  # an encoding holds far more than its ids
 
 
 class IdTable(dict):
@@ -52,11 +53,13 @@ class IdTable(dict):
         return [array("I", e.ids).tobytes() for e in found]
 
     def learn(self, wanted: set[str]) -> list[str]:
-        """Encode the stretches not in the table yet, all at once; the long ones of them."""
+        """Encode the stretches not in the table yet; gives the long ones of them."""
         if len(self) > _TABLE_ENTRIES:
             self.clear()
         new = list(wanted.difference(self))
-        self.update(zip(new, self.encode(new), strict=True))
+        for a in range(0, len(new), _ENCODED_AT_ONCE):
+            part = new[a : a + _ENCODED_AT_ONCE]
+            self.update(zip(part, self.encode(part), strict=True))
         return [s for s in new if len(s) > _LONGEST_ENTRY]
 
 
