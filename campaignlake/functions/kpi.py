@@ -4,7 +4,7 @@ Formulas of the metrics layer: ``round`` HALF_UP, spend from
 the rounded product, ROAS over the rounded spend and over 1 when there was no
 spend.
 
-Money sums are taken as ``decimal(18,2)`` and returned as double: a double
+Money sums are taken as ``decimal(38,10)`` and returned as double: a double
 sum depends on the order rows meet in, so two runs (or two partitionings) of
 the same data could differ in the last bits; the decimal sum cannot.
 ``double_sums=True`` gives the literal double summation instead.
@@ -60,13 +60,15 @@ def exact_money_sum(c: str | Column) -> Column:
     """Sum in ``MONEY``; the sum of the doubles where a value has no such form.
 
     NaN, infinities and values of 1e28 or more can't be summed in decimal; a
-    group with one of them gets its double sum, so no value is left out and none
-    fails the job.
+    group with one of them, or whose sum doesn't fit, gets its double sum, so no value
+    is left out and none fails the job.
     """
     value = _c(c)
     form = value.try_cast(MONEY)
     odd = F.count_if(value.isNotNull() & form.isNull())
-    return F.when(odd > 0, F.sum(value)).otherwise(F.sum(form).cast("double"))
+    exact = F.try_sum(form)
+    unfit = (odd > 0) | (exact.isNull() & (F.count(form) > 0))
+    return F.when(unfit, F.sum(value)).otherwise(exact.cast("double"))
 
 
 def money_sum(c: str | Column, double_sums: bool = False) -> Column:

@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators of the three layers and their reports."""
 
+from campaignlake.operators.attribution import attribution_by_campaign, attribution_credits, touch_paths
 from campaignlake.operators.carry import last_prior_values
 from campaignlake.operators.dedup import dedup_events, dedup_stream
 from campaignlake.operators.freshness import freshness, layer_freshness
@@ -36,6 +37,9 @@ from campaignlake.operators.typed import (
 )
 
 __all__ = [
+    "attribution_by_campaign",
+    "attribution_credits",
+    "touch_paths",
     "advertiser_conflicts",
     "aggregate_clicks",
     "aggregate_conversions",

@@ -27,10 +27,12 @@ def _revenue_parts(c) -> list:
     # decimal and double sum and the count of values without decimal form, kept
     # across both aggregation steps, so that the total is the one of money_sum
     form = c.try_cast(MONEY)
+    exact = F.try_sum(form)
+    too_large = (exact.isNull() & (F.count(form) > 0)).cast("long")
     return [
-        F.sum(form).alias("exact"),
+        exact.alias("exact"),
         F.sum(c).alias("doubles"),
-        F.count_if(c.isNotNull() & form.isNull()).alias("odd"),
+        (F.count_if(c.isNotNull() & form.isNull()) + too_large).alias("odd"),
     ]
 
 
@@ -38,7 +40,9 @@ def _revenue_total(double_sums: bool):
     doubles = F.sum("linked_doubles")
     if double_sums:
         return doubles
-    return F.when(F.sum("linked_odd") > 0, doubles).otherwise(F.sum("linked_exact").cast("double"))
+    exact = F.try_sum("linked_exact")
+    unfit = (F.sum("linked_odd") > 0) | (exact.isNull() & (F.count("linked_exact") > 0))
+    return F.when(unfit, doubles).otherwise(exact.cast("double"))
 
 
 def _ids(typed: DataFrame, event_type: str, as_name: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaignlake.operators import funnel as fn
+from campaignlake.operators.attribution import attribution_by_campaign
 from campaignlake.operators.freshness import freshness, layer_freshness
 from campaignlake.operators.metrics import (
     aggregate_clicks,
@@ -206,6 +207,10 @@ def q_line_revenue(spark, sf_dir):
     return fn.line_revenue(Lake(spark, sf_dir).typed())
 
 
+def q_attribution_credit(spark, sf_dir):
+    return attribution_by_campaign(Lake(spark, sf_dir).typed())
+
+
 def q_funnel_linkage(spark, sf_dir):
     return fn.funnel_linkage(Lake(spark, sf_dir).typed())
 
@@ -355,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "user_activity": q_user_activity,
     "viewability_check": q_viewability_check,
     "line_revenue": q_line_revenue,
+    "attribution_credit": q_attribution_credit,
     "funnel_linkage": q_funnel_linkage,
     "funnel_orphans": q_funnel_orphans,
     "funnel_rates": q_funnel_rates,

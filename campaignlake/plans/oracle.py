@@ -24,6 +24,13 @@ def dround(expr: str, digits: int) -> str:
 MONEY_SUM = "CAST(sum(CAST(({}) AS DECIMAL(38,10))) AS DOUBLE)"
 
 
+_CONVERSION_CENTS = (
+    "SELECT event_id, user_id_hashed AS u, event_timestamp AS ts, CAST(CAST(revenue AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents, "
+    "CASE WHEN attribution_model IN ('last_click', 'linear', 'time_decay') THEN attribution_model ELSE 'last_click' END AS m "
+    "FROM typed WHERE event_type = 'conversion'"
+)
+
+
 def _js(field: str, src: str = "raw_payload") -> str:
     return f"json_extract_string({src}, '$.{field}')"
 
@@ -333,6 +340,23 @@ ORACLE_SQL: dict[str, str] = {
         + sround("revenue / quantity", 2) + " AS unit_price, "
         + sround("revenue", 2) + " AS revenue_2 FROM typed WHERE event_type = 'conversion'))"
     ),
+    "attribution_credit": _q(
+        "SELECT m AS attribution_model, campaign_id, CAST(count(DISTINCT event_id) AS BIGINT) AS conversions, "
+        "CAST(count(tid) AS BIGINT) AS touches, CAST(coalesce(sum(credit), 0) AS BIGINT) AS credit_cents FROM ("
+        "SELECT c.event_id, c.m, p.campaign_id, p.tid, CASE WHEN p.tid IS NULL THEN c.cents ELSE "
+        "whole + CASE WHEN place <= c.cents - sum(whole) OVER (PARTITION BY c.event_id) THEN 1 ELSE 0 END END AS credit "
+        "FROM (" + _CONVERSION_CENTS + ") c LEFT JOIN ("
+        "SELECT *, cents * w // sum(w) OVER g AS whole, "
+        "row_number() OVER (PARTITION BY event_id ORDER BY cents * w % total DESC, back) AS place FROM ("
+        "SELECT *, sum(w) OVER (PARTITION BY event_id) AS total FROM ("
+        "SELECT *, CASE m WHEN 'last_click' THEN CAST(back = 1 AS BIGINT) WHEN 'linear' THEN 1 "
+        "ELSE CAST(1 AS BIGINT) << (7 - CAST(floor(epoch(ts - tts) / 86400) AS INTEGER)) END AS w FROM ("
+        "SELECT c.*, t.event_id AS tid, t.campaign_id, t.event_timestamp AS tts, "
+        "row_number() OVER (PARTITION BY c.event_id ORDER BY t.event_timestamp DESC, t.event_id DESC) AS back "
+        "FROM (" + _CONVERSION_CENTS + ") c JOIN typed t ON t.event_type = 'click' AND t.user_id_hashed = c.u "
+        "AND t.event_timestamp <= c.ts AND t.event_timestamp >= c.ts - INTERVAL 7 DAY) WHERE back <= 20)) "
+        "WINDOW g AS (PARTITION BY event_id)) p ON p.event_id = c.event_id) GROUP BY 1, 2"
+    ),
     "funnel_linkage": _q(
         "SELECT campaign_id, CAST(coalesce(sum(impressions), 0) AS BIGINT) AS impressions, "
         "CAST(coalesce(sum(clicks), 0) AS BIGINT) AS clicks, "
