@@ -11,12 +11,15 @@ that are never content (scripts, styles, navigation, forms, ...) have an infinit
 cost on that side, so no tie can draw them in.
 
 Scale: pages are independent; each task handles the pages it reads, one at a time.
-A page's graph has a constant number of edges per block.
+A page's graph has a constant number of edges per block, and tags are read in time
+linear in the page, however deep or broken it is.
 
 Defined results: null or empty html has empty text; character references are
 decoded; white space inside a block becomes one blank, ends are trimmed, empty
 blocks vanish; broken markup is read as it stands (an unclosed element ends with
-its parent); repeated rows are pages of their own; an empty table has no rows.
+its parent, an unclosed tag at the next one); a class that names a layout (``has-sidebar``)
+says nothing, one that names a frame holds until an ``article`` or ``main`` opens in it; a
+form around more than half of the text is none; repeated rows are pages of their own; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -53,7 +56,7 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>",
     re.DOTALL,
 )
 _NAMED = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -65,6 +68,12 @@ _WORDS_OUT = re.compile(
     r"recommend\w*|pagination|pager|toolbar|copyright|legal|search)(?=$|[\s_-])",
     re.I,
 )
+# A class that tells what a layout has or what a page is for names no part of the page.
+_LAYOUT = re.compile(
+    r"^(?:has|with|without|no|is|page|layout|site|theme|template)[-_]"
+    r"|[-_](?:page|layout|enabled|disabled|template|theme)$",
+    re.I,
+)
 _WORDS_IN = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|text|body)(?=$|[\s_-])", re.I)
 _SPACE = re.compile(r"\s+")
 _SENTENCE = re.compile(r"[.!?…。！？](?:\s|$)")
@@ -75,11 +84,32 @@ WEIGHTS = {"inside": 4.0, "named_in": 1.5, "named_out": -12.0, "header": -3.0, "
 NEIGHBOUR, NEAR, NEVER_COST = 0.6, 0.5, 1e9
 
 
+_FRAME = re.compile(
+    r"(?:^|[\"'\s_=-])(?:nav\w*|menu\w*|side-?bar|header|footer|masthead|banner|search|toolbar|widget\w*|"
+    r"breadcrumb\w*|pagination|pager|login|overlay|popup|modal)(?=$|[\"'\s_-])",
+    re.I,
+)
+
+
+class Element:
+    """An open element: its place in the tree and what it says of the text in it."""
+
+    __slots__ = ("name", "parent", "depth", "never", "form", "marks")
+
+    def __init__(self, name: str, parent: Element | None, never: bool, marks: frozenset):
+        self.name, self.parent, self.marks = name, parent, marks
+        self.depth = parent.depth + 1 if parent else 1
+        self.never = never or parent is not None and parent.never
+        self.form = self if name == "form" else parent.form if parent else None
+
+
 class Block:
-    __slots__ = ("path", "pieces", "linked", "never", "marks")
+    __slots__ = ("element", "never", "marks", "pieces", "linked")
 
-    def __init__(self, path: tuple, never: bool, marks: frozenset):
-        self.path, self.never, self.marks = path, never, marks
+    def __init__(self, element: Element | None):
+        self.element = element
+        self.never = element is not None and element.never
+        self.marks = element.marks if element else frozenset()
         self.pieces: list[str] = []
         self.linked = 0
 
@@ -87,12 +117,62 @@ class Block:
         return _SPACE.sub(" ", entities.unescape("".join(self.pieces))).strip()
 
 
+class OpenElements:
+    """The open elements of a page, and the places of each name among them."""
+
+    def __init__(self):
+        self.stack: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+
+    def top(self) -> Element | None:
+        return self.stack[-1] if self.stack else None
+
+    def last(self, names) -> int:
+        """The place of the innermost open element of these names, or -1."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.name, []).append(len(self.stack))
+        self.stack.append(element)
+
+    def close(self, place: int) -> None:
+        """End the element at a place and all inside it."""
+        while len(self.stack) > place:
+            self.places[self.stack.pop().name].pop()
+
+    def make_room(self, name: str) -> None:
+        """End the elements that an opening one of this name ends."""
+        top = self.top()
+        if top is not None and top.name == "p" and name in CLOSES["p"]:
+            self.close(len(self.stack) - 1)
+        if name in SCOPES:
+            ended = self.last([x for x, by in CLOSES.items() if x != "p" and name in by])
+            if ended > self.last(SCOPES[name]):
+                self.close(ended)
+
+
+def _marks(name: str, attributes: str, above: frozenset) -> frozenset:
+    """What an element's name and labels say, with what holds above it."""
+    marks = {name}
+    for a, b, c in _NAMED.findall(attributes):
+        label = a or b or c
+        if any(_WORDS_OUT.search(token) and not _LAYOUT.search(token) for token in label.split()):
+            marks.add("-out")
+        elif _WORDS_IN.search(label):
+            marks.add("-in")
+    if name in ("article", "main"):
+        above = above - {"-frame-out"}
+    if "-out" in marks and "-in" not in marks and name not in ("html", "body", "main"):
+        # what frames a page may hold its article; what discusses or sells doesn't
+        marks.add("-frame-out" if _FRAME.search(attributes) else "-named-out")
+    return above | frozenset(marks)
+
+
 def blocks_of(page: str) -> list[tuple[Block, str]]:
     """The blocks of a page that have text, in order, with their text."""
     found: list[Block] = []
-    # open elements: (name, number, never, marks)
-    stack: list[tuple[str, int, bool, frozenset]] = []
-    number, links = 0, 0
+    opened = OpenElements()
+    links = 0
     current: Block | None = None
     at, size = 0, len(page)
 
@@ -101,9 +181,7 @@ def blocks_of(page: str) -> list[tuple[Block, str]]:
         if current is None:
             if not piece.strip():
                 return
-            path = tuple((name, n) for name, n, _, _ in stack)
-            never = bool(stack) and stack[-1][2]
-            current = Block(path, never, stack[-1][3] if stack else frozenset())
+            current = Block(opened.top())
             found.append(current)
         current.pieces.append(piece)
         if links:
@@ -131,43 +209,42 @@ def blocks_of(page: str) -> list[tuple[Block, str]]:
             current = None
         if m[1]:
             links -= name == "a" and links > 0
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            place = opened.last((name,))
+            if place >= 0:
+                opened.close(place)
             continue
         if name == "a":
             links += 1
         if name in VOID or name not in BLOCK and name not in NEVER:
             continue
-        for k in range(len(stack) - 1, -1, -1):  # elements that this one closes
-            top = stack[k][0]
-            if top == "p" and name in CLOSES["p"] or name in CLOSES.get(top, ()):
-                del stack[k:]
-                break
-            if top != "p" and (top in SCOPES.get(name, ()) or name not in SCOPES):
-                break
-        number += 1
-        never = name in NEVER or bool(stack) and stack[-1][2] or bool(_HIDDEN.search(m[3]))
-        marks = {name}
-        for a, b, c in _NAMED.findall(m[3]):
-            label = a or b or c
-            if _WORDS_OUT.search(label):
-                marks.add("-out")
-            elif _WORDS_IN.search(label):
-                marks.add("-in")
-        above = stack[-1][3] if stack else frozenset()
-        if "-out" in marks and "-in" not in marks and name not in ("html", "body", "main"):
-            marks.add("-named-out")
-        stack.append((name, number, never, above | frozenset(marks)))
+        opened.make_room(name)
+        parent = opened.top()
+        never = name in NEVER and name != "form" or bool(_HIDDEN.search(m[3]))
+        marks = _marks(name, m[3], parent.marks if parent else frozenset())
+        opened.push(Element(name, parent, never, marks))
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             inner = page[at : end.start() if end else size]
             say(inner)
             current = None
             at = end.end() if end else size
-            stack.pop()
-    return [(b, t) for b in found if (t := b.text())]
+            opened.close(len(opened.stack) - 1)
+    blocks = [(b, t) for b in found if (t := b.text())]
+    return _without_forms(blocks)
+
+
+def _without_forms(blocks: list[tuple[Block, str]]) -> list[tuple[Block, str]]:
+    """Forms are never content, but for one around most of the page's text."""
+    sizes: dict[Element | None, int] = {}
+    for block, text in blocks:
+        if not block.never:
+            form = block.element.form if block.element else None
+            sizes[form] = sizes.get(form, 0) + len(text)
+    half = sum(sizes.values()) / 2
+    for block, _ in blocks:
+        form = block.element.form if block.element else None
+        block.never = block.never or form is not None and sizes[form] <= half
+    return blocks
 
 
 def cost(block: Block, text: str) -> float:
@@ -177,23 +254,25 @@ def cost(block: Block, text: str) -> float:
     marks, w = block.marks, WEIGHTS
     value = w["bias"] + w["length"] * min(len(text), 400)
     value += w["inside"] * ("article" in marks or "main" in marks)
-    value += w["named_in"] * ("-in" in marks) + w["named_out"] * ("-named-out" in marks)
+    value += w["named_in"] * ("-in" in marks) + w["named_out"] * ("-named-out" in marks or "-frame-out" in marks)
     value += w["header"] * ("header" in marks and "article" not in marks)
     value += w["sentence"] * min(3, len(_SENTENCE.findall(text)))
     value += w["links"] * min(1.0, block.linked / max(1, len(text)))
-    last = block.path[-1][0] if block.path else ""
+    last = block.element.name if block.element else ""
     value += w["paragraph"] * (last in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"))
     return value + w["item"] * (last in ("li", "td", "th"))
 
 
-def _nearness(a: tuple, b: tuple) -> int:
+def _nearness(a: Element | None, b: Element | None) -> int:
     """Steps in the tree between two elements."""
-    shared = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        shared += 1
-    return len(a) + len(b) - 2 * shared
+    steps = 0
+    while a is not b:
+        if b is None or a is not None and a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
 
 
 def minimum_cut(values: list[float], ties: list[tuple[int, int, float]]) -> list[bool]:
@@ -269,12 +348,12 @@ def label(blocks: list[tuple[Block, str]]) -> list[bool]:
     """Content or not, for each block of a page."""
     values = [cost(b, t) for b, t in blocks]
     ties = []
-    last: dict[tuple, int] = {}
+    last: dict[Element | None, int] = {}
     for k, (block, _) in enumerate(blocks):
         if k:
-            steps = _nearness(blocks[k - 1][0].path, block.path)
+            steps = _nearness(blocks[k - 1][0].element, block.element)
             ties.append((k - 1, k, NEIGHBOUR / max(1, steps)))
-        parent = block.path[:-1]
+        parent = block.element.parent if block.element else None
         if parent in last and last[parent] != k - 1:
             ties.append((last[parent], k, NEAR))
         elif parent in last:

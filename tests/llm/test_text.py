@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
 import zlib
 
 import pytest
@@ -291,3 +292,36 @@ def test_a_long_conversation_leaves_in_parts(spark, monkeypatch):
     parts = list(run(iter([frame.toPandas()])))
     assert len(parts) > 5 and sum(map(len, parts)) == 41
     assert [r.n_turns for p in chat_prefix._digest(iter(parts)) for r in p.itertuples()] == [81]
+
+
+_ARTICLE = "<article><h1>A title</h1><p>" + "A long sentence of the article, with words. " * 8 + "</p></article>"
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ['<div class="layout has-sidebar">{}</div>', '<div class="page with-header">{}</div>',
+     '<div class="menu-page">{}</div>', '<div class="search-enabled">{}</div>',
+     '<form id="aspnetForm">{}<input name=x></form>', '<div class="sidebar"><main>{}</main></div>'],
+)
+def test_layouts_keep_the_article(wrapper):
+    page = "<html><body><nav>Home About</nav>" + wrapper.format(_ARTICLE) + "<footer>Imprint</footer></body></html>"
+    want = "A title\n" + ("A long sentence of the article, with words. " * 8).strip()
+    assert mincut_html.main_text(page) == want
+
+
+def test_comments_and_small_forms_are_left_out():
+    comment = '<div id="comments"><article class="comment"><p>' + "I do not agree with this at all. " * 9 + "</p></article></div>"
+    form = '<form action="/join"><p>Join our list. It is free. We write once a week.</p></form>'
+    found = mincut_html.main_text(f"<body>{_ARTICLE}{form}{comment}</body>")
+    assert "agree" not in found and "Join" not in found and found.startswith("A title\nA long sentence")
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>x" * 100_000, "<a b" * 100_000, '<a "' * 100_001, "<div>" * 50_000 + "</span></b></li>" * 50_000,
+     "<li><ul>" + "<div>" * 50_000 + "<li>a</li>" * 20_000, "<!--" * 100_000, "<p>y" * 100_000],
+)
+def test_deep_and_broken_markup_takes_linear_time(page):
+    begun = time.process_time()
+    mincut_html.main_text(page)
+    assert time.process_time() - begun < 20
