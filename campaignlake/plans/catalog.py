@@ -40,6 +40,7 @@ from campaignlake.schemas import (
 )
 from campaignlake.sources.fixtures import kafka_records
 from campaignlake.sources.tables import read_table
+from campaignlake.streaming.deltas import compact, drain_deltas, retract, write_metrics
 from campaignlake.streaming.layers import (
     LayerPaths,
     await_query,
@@ -299,10 +300,28 @@ def q_stream_metrics_incremental(spark, sf_dir):
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
 
 
-def q_stream_metrics_two_drains(spark, sf_dir):
+def q_stream_metrics_deltas(spark, sf_dir):
+    """The two drains of ``stream_metrics_two_drains``, metrics kept by signed deltas,
+    with a compaction between, and a campaign's retraction that an empty one replaces."""
+    paths, parts = _two_drains(spark, sf_dir)
+    for k, part in enumerate(parts):
+        part.write.mode("append").parquet(paths.source)
+        await_query(start_raw_stream(spark, paths, salt_buckets=_salts(spark, paths)), STREAM_TIMEOUT_SECONDS)
+        await_query(start_typed_stream(spark, paths, state_partitions=_states(spark, paths)), STREAM_TIMEOUT_SECONDS)
+        drain_deltas(spark, paths, STREAM_TIMEOUT_SECONDS)
+        if k == 0:
+            compact(spark, paths)
+    typed = read_table(spark, paths.typed, TYPED_COLUMNS, schema=TYPED_SCHEMA)
+    retract(typed.where("campaign_id = 'camp_1'"), paths, "camp_1")
+    retract(typed.where("false"), paths, "camp_1")
+    write_metrics(spark, paths)
+    return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
+
+
+def _two_drains(spark, sf_dir):
     """The topic arrives in two parts. In the first are the records before the middle
     of its time span, without those of partition 0 (which is late) and second copies;
-    all others come with the second, which refreshes only the days it touches."""
+    all others come with the second."""
     lake = Lake(spark, sf_dir)
     records = lake.topic()
     root = lake.scratch("stream")
@@ -314,8 +333,14 @@ def q_stream_metrics_two_drains(spark, sf_dir):
     early = F.coalesce(
         (F.unix_micros("timestamp") < middle) & (F.col("partition") != 0) & (F.col("offset") % 2 == 0), F.lit(False)
     )
-    for part in (early, ~early):
-        records.where(part).write.mode("append").parquet(paths.source)
+    return paths, [records.where(early), records.where(~early)]
+
+
+def q_stream_metrics_two_drains(spark, sf_dir):
+    """The second of two drains refreshes only the days it touches."""
+    paths, parts = _two_drains(spark, sf_dir)
+    for part in parts:
+        part.write.mode("append").parquet(paths.source)
         run_layers(spark, paths, timeout_seconds=STREAM_TIMEOUT_SECONDS, salt_buckets=_salts(spark, paths),
                    incremental_metrics=True, state_partitions=_states(spark, paths))
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
@@ -373,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "stream_typed": q_stream_typed,
     "stream_metrics": q_stream_metrics,
     "stream_metrics_incremental": q_stream_metrics_incremental,
+    "stream_metrics_deltas": q_stream_metrics_deltas,
     "stream_metrics_two_drains": q_stream_metrics_two_drains,
     "stream_progress": q_stream_progress,
 }

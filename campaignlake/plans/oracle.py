@@ -425,3 +425,4 @@ ORACLE_SQL["stream_typed"] = ORACLE_SQL["typed_dedup"]
 ORACLE_SQL["stream_metrics"] = ORACLE_SQL["campaign_metrics"]
 ORACLE_SQL["stream_metrics_incremental"] = ORACLE_SQL["campaign_metrics"]
 ORACLE_SQL["stream_metrics_two_drains"] = ORACLE_SQL["campaign_metrics"]
+ORACLE_SQL["stream_metrics_deltas"] = ORACLE_SQL["campaign_metrics"]
