@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaignlake.llm.common import slices, tidy
+from campaignlake.llm.common import slices
 from campaignlake.llm.tokenizing import Encoder
 
 CAPACITY = 2048
@@ -187,7 +187,7 @@ def _pack(tokenizer: str, keep_blanks: bool, end_id: int, limits: dict):
         packer.finish()
         yield taken()
 
-    return tidy(run)
+    return run
 
 
 def pack_documents(
