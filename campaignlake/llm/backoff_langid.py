@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campaignlake.llm.common import slices, text_digest, tidy
+from campaignlake.llm.common import keep_in_worker, slices, text_digest, tidy
 
 SAMPLE = 500
 LONGEST = 5
@@ -164,17 +164,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> BackoffModel:
     return BackoffModel(kept.toPandas())
 
 
-_WORKER: dict[str, WordTable] = {}
-
-
 def _predict(model, key: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import campaignlake.llm.backoff_langid as here  # the table outlives the task
-
-        if key not in here._WORKER:
-            here._WORKER.clear()
-            here._WORKER[key] = WordTable(model.value)
-        table = here._WORKER[key]
+        table = keep_in_worker(key, lambda: WordTable(model.value))
         for frame in slices(frames, "text", _SLICE_CHARS):
             found = table.model(frame["text"].tolist(), table)
             yield pd.DataFrame(
@@ -186,7 +178,7 @@ def _predict(model, key: str):
                 }
             ).astype({"doc_id": "Int64"})
 
-    return tidy(run)
+    return tidy(run, key)
 
 
 def identify(docs: DataFrame, model: BackoffModel) -> DataFrame:

@@ -6,9 +6,9 @@ way, level by level, until each document has one name. Names come from sorted
 contents, never from a hash, so two documents share ``(levels, name)`` exactly
 when their texts are equal.
 
-Scale: a map task sends a block's content once however many of its rows have it
+Scale: a batch of a map task sends a block's content once however many of its rows have it
 (others point at the first), so a text that a third of all rows share costs one
-row per task. Contents are shuffled once; all later levels move integers. Pairs
+row per batch. Contents are shuffled once; all later levels move integers. Pairs
 are pre-aggregated before they are named, and only documents of several blocks
 take part in the levels above the first.
 
@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campaignlake.llm.common import lower_ascii, materialize, staying_rows, utf8
+from campaignlake.llm.common import lower_ascii, materialize, staying_rows, tidy, utf8
 
 BLOCK_BYTES = 16384
 
@@ -59,7 +59,7 @@ def _cut(size: int):
             out = pd.DataFrame(rows, columns=[c.split()[0] for c in _BLOCKS.split(", ")])
             yield out.astype({"doc_id": "Int64"})
 
-    return run
+    return tidy(run)
 
 
 def _name_sorted(column: str, tasks: int):
@@ -75,7 +75,7 @@ def _name_sorted(column: str, tasks: int):
                 names.append(rank * tasks + task)
             yield frame[["rep_rid", "rep_block"]].assign(name=names)
 
-    return run
+    return tidy(run)
 
 
 def _name_contents(blocks: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def _name_pairs(names: DataFrame) -> DataFrame:
     named = (
         distinct.repartition(tasks, "left_name", "right_name")
         .sortWithinPartitions("left_name", "right_name")
-        .mapInPandas(run, "left_name long, right_name long, name long")
+        .mapInPandas(tidy(run), "left_name long, right_name long, name long")
     )
     return pairs.join(named, ["left_name", "right_name"]).select("rid", "block", "name")
 

@@ -33,18 +33,21 @@ _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
 _BATCH_ROWS = 2000
+_BATCH_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package (once per context), wherever they start.
 
     Spark's own file distribution sends it; the archive is a driver-side file only.
-    Batches to Python have ``_BATCH_ROWS`` rows at most: rows here are whole texts.
+    Batches to Python have ``_BATCH_ROWS`` rows and about ``_BATCH_BYTES`` bytes at most:
+    rows here are whole texts, and a pair of long ones may come thousands of times.
     """
     sc = spark.sparkContext
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(rows)) <= _BATCH_ROWS:
         spark.conf.set(rows, _BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH_BYTES)
     if getattr(sc, "_campaignlake_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -132,19 +135,46 @@ def without_rows(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     return docs.join(bad, match, "left_anti")
 
 
-def tidy(run):
-    """``run`` over batches, and the worker's free memory given back when the task ends.
+_KEPT: dict[str, object] = {}
 
-    Workers serve the tasks of all stages; allocators keep what a large task freed.
+
+def keep_in_worker(key: str, make):
+    """A value that this worker keeps for its next tasks: that of the last key only."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release(but: str | None = None) -> None:
+    """Drop what tasks of other stages left in this worker, and give free memory back."""
+    other = [key for key in _KEPT if key != but]
+    for key in other:
+        del _KEPT[key]
+    if other:
+        give_back()
+
+
+def give_back() -> None:
+    """Return free memory to the system; allocators keep what a large task freed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run, key: str | None = None):
+    """``run`` over batches, in a worker that holds nothing of other stages.
+
+    Workers serve the tasks of all stages. ``key`` names what ``run`` itself keeps for
+    its next tasks; free memory goes back when the task ends.
     """
 
     def task(batches):
+        release(but=key)
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no trim
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return task
 
@@ -171,13 +201,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
+_WORDS_AT_ONCE = 1 << 15
 
 
 def word_hashes(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of the texts in order, and words per text.
 
-    One pass of array operations over the joined bytes: a word's hash is the
-    polynomial of its bytes, mixed with its length.
+    Array operations over the joined bytes, ``_WORDS_AT_ONCE`` words at a time: a
+    word's hash is the polynomial of its bytes, mixed with its length.
     """
     parts = [utf8(t).translate(WORD_BYTES) for t in texts]
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -188,11 +219,16 @@ def word_hashes(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(parts), np.int64)
     lengths = ends - starts
-    letters = data[inside].astype(np.uint64)
-    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    place = np.arange(len(letters)) - np.repeat(first, lengths)
     powers = np.cumprod(np.full(int(lengths.max()), _WORD_BASE, np.uint64))
-    hashes = np.add.reduceat(letters * powers[place], first)
+    hashes = np.empty(len(starts), np.uint64)
+    for a in range(0, len(starts), _WORDS_AT_ONCE):
+        size = lengths[a : a + _WORDS_AT_ONCE]
+        b = a + len(size)
+        span = slice(starts[a], ends[b - 1])
+        letters = data[span][inside[span]].astype(np.uint64)
+        first = np.concatenate(([0], np.cumsum(size)[:-1]))
+        letters *= powers[np.arange(len(letters)) - np.repeat(first, size)]
+        hashes[a:b] = np.add.reduceat(letters, first)
     hashes = mix64(hashes + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     limits = np.cumsum(sizes + 1)
     counts = np.diff(np.concatenate(([0], np.searchsorted(starts, limits))))

@@ -11,11 +11,12 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
+from campaignlake.llm.common import keep_in_worker
+
 # Python's \s is Unicode's White_Space and the separators 1C to 1F, which the
 # vocabularies take for ordinary characters; texts with these are cut by _SPACE.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -60,17 +61,12 @@ class IdTable(dict):
         return [s for s in new if len(s) > _LONGEST_ENTRY]
 
 
-@lru_cache(maxsize=2)
-def _table(path: str) -> IdTable:
-    """The table of this Python worker; its tasks share it."""
-    return IdTable(path)
-
-
 class Encoder:
     """Encodes whole texts."""
 
     def __init__(self, path: str, keep_blanks: bool, end_id: int):
-        self.table = _table(path)
+        # the tasks of a Python worker share its table
+        self.table = keep_in_worker(f"ids of {path}", lambda: IdTable(path))
         self.keep_blanks = keep_blanks
         self.end = np.array([end_id], "<u4").tobytes()
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campaignlake.llm.backoff_langid import held_out
-from campaignlake.llm.common import slices
+from campaignlake.llm.common import keep_in_worker, slices
 
 SAMPLE = 20_000
 WINDOW = 6
@@ -311,17 +311,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     return ToxicityModel(entries, _logistic(x, y))
 
 
-_WORKER: dict[str, Matcher] = {}
-
-
 def _predict(model, key: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import campaignlake.llm.toxicity as here  # the table outlives the task
-
-        if key not in here._WORKER:
-            here._WORKER.clear()
-            here._WORKER[key] = Matcher(Lexicon(model.value.lexicon))
-        matcher = here._WORKER[key]
+        matcher = keep_in_worker(key, lambda: Matcher(Lexicon(model.value.lexicon)))
         for frame in slices(frames, "text", _SLICE_CHARS):
             score = model.value.score(matcher.features(frame["text"].tolist()))
             yield pd.DataFrame(

@@ -36,6 +36,7 @@ from campaignlake.llm.common import (
     mix64,
     slices,
     text_digest,
+    tidy,
     without_rows,
     word_bytes,
 )
@@ -179,7 +180,7 @@ def _scan(index):
                 index=frame.index,
             )
 
-    return run
+    return tidy(run)
 
 
 def _digest(starts: pd.Series, ends: pd.Series, items: pd.Series) -> pd.DataFrame:
