@@ -49,6 +49,7 @@ from campaignlake.streaming.layers import (
     start_raw_stream,
     start_typed_stream,
 )
+from campaignlake.streaming.links import LINK_SCHEMA, linkage, links_path, start_links
 from campaignlake.streaming.progress import progress_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -346,6 +347,19 @@ def q_stream_metrics_two_drains(spark, sf_dir):
     return metrics_out(read_table(spark, paths.metrics, METRICS_COLUMNS, schema=METRICS_SCHEMA))
 
 
+def q_stream_linkage(spark, sf_dir):
+    """Funnel links by stream-stream joins in two drains, the first without the late rows."""
+    paths, parts = _two_drains(spark, sf_dir)
+    for part in parts:
+        part.write.mode("append").parquet(paths.source)
+        states = _states(spark, paths)
+        await_query(start_raw_stream(spark, paths, salt_buckets=_salts(spark, paths)), STREAM_TIMEOUT_SECONDS)
+        await_query(start_typed_stream(spark, paths, state_partitions=states), STREAM_TIMEOUT_SECONDS)
+        await_query(start_links(spark, paths, state_partitions=states), STREAM_TIMEOUT_SECONDS)
+    typed = read_table(spark, paths.typed, TYPED_COLUMNS, schema=TYPED_SCHEMA)
+    return linkage(typed, read_table(spark, links_path(paths), schema=LINK_SCHEMA))
+
+
 def q_stream_progress(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     raw_q = start_raw_stream(spark, paths, max_files_per_trigger=4, salt_buckets=_salts(spark, paths))
@@ -399,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "stream_metrics": q_stream_metrics,
     "stream_metrics_incremental": q_stream_metrics_incremental,
     "stream_metrics_deltas": q_stream_metrics_deltas,
+    "stream_linkage": q_stream_linkage,
     "stream_metrics_two_drains": q_stream_metrics_two_drains,
     "stream_progress": q_stream_progress,
 }

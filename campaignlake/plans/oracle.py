@@ -365,6 +365,18 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(coalesce(sum(linked_conversions), 0) AS BIGINT) AS linked_conversions, "
         "coalesce(CAST(sum(linked_revenue) AS DOUBLE), 0.0::DOUBLE) AS linked_revenue FROM funnel_parts GROUP BY 1"
     ),
+    "stream_linkage": _q(
+        "SELECT campaign_id, count(*) FILTER (WHERE event_type = 'click') AS clicks, "
+        "count(*) FILTER (WHERE event_type = 'click' AND linked) AS linked_clicks, "
+        "count(*) FILTER (WHERE event_type = 'conversion') AS conversions, "
+        "count(*) FILTER (WHERE event_type = 'conversion' AND linked) AS linked_conversions FROM ("
+        "SELECT c.campaign_id, c.event_type, EXISTS (SELECT 1 FROM typed p "
+        "WHERE p.event_id = CASE c.event_type WHEN 'click' THEN c.impression_id ELSE c.click_id END "
+        "AND p.event_type = CASE c.event_type WHEN 'click' THEN 'impression' ELSE 'click' END "
+        "AND c.event_timestamp >= p.event_timestamp "
+        "AND c.event_timestamp <= p.event_timestamp + INTERVAL 1 DAY) AS linked "
+        "FROM typed c WHERE c.event_type IN ('click', 'conversion')) GROUP BY 1"
+    ),
     "funnel_orphans": _q(
         "SELECT event_id, event_type, campaign_id, 'impression' AS ref_type, impression_id AS ref_id, "
         "CASE WHEN impression_id IS NULL THEN 'missing_ref' ELSE 'dangling_ref' END AS reason "

@@ -104,6 +104,16 @@ def _session_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(k, v)
 
 
+def exact_state(spark: SparkSession, state_partitions: int | None = None):
+    """RocksDB state (unless the session names a provider) for a query started inside."""
+    settings = {}
+    if not spark.conf.get(_STATE_CONF, None):
+        settings = {_STATE_CONF: _ROCKSDB, _CHANGELOG_CONF: "true"}
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    return _session_conf(spark, settings)
+
+
 def start_raw_stream(
     spark: SparkSession,
     paths: LayerPaths,
