@@ -3,7 +3,8 @@
 A known word scores by its log frequency in each language. A word that the model
 doesn't know is scored by its character n-grams, the longest that it shares with
 the model: five characters, else four, and so on to one. A text's languages are
-weighed by the sum over its words.
+weighed by the sum over its words. ``recognised`` says whether any word of a text was
+known or shared an n-gram with the model; it depends on no number of languages.
 
 Fit: word and n-gram counts of at most about ``SAMPLE`` training texts of each
 language (drawn by a hash of doc_id and text; the bound of the model's size). Words seen
@@ -13,7 +14,7 @@ of a task. Language, source and doc_id are no inputs of a score.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; a
 text with letters of which the model knows nothing gets the first language with
-the share of a guess; without training rows every text is ``und``; repeated rows
+the share of a guess and is not recognised; without training rows every text is ``und``; repeated rows
 score alike; an empty table has no rows.
 """
 
@@ -45,6 +46,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def grams(word: str, n: int) -> list[str]:
+    """N-grams with the word's edges marked; single characters are those of the word."""
+    if n == 1:
+        return list(word)
     edged = f"<{word}>"
     return [edged[k : k + n] for k in range(len(edged) - n + 1)] or [edged]
 
@@ -81,17 +85,20 @@ class BackoffModel:
             self.place[int(n)] = {gram: k for k, gram in enumerate(names)}
             self.rows[int(n)] = (np.log(times + smooth) - below).astype(np.float32)
 
-    def word(self, word: str) -> np.ndarray:
-        """Evidence of a word, as differences from its mean over the languages."""
+    def evidence(self, word: str) -> tuple[np.ndarray, bool]:
+        """Differences from the mean over the languages, and whether the model met the word or a part."""
         for n in (0, *range(LONGEST, 0, -1)):
             place = self.place.get(n, {})
             known = [place[g] for g in ([word] if n == 0 else grams(word, n)) if g in place]
             if known:
                 row = self.rows[n][known].mean(axis=0)
-                return row - row.mean()
-        return np.zeros(len(self.languages), np.float32)
+                return row - row.mean(), True
+        return np.zeros(len(self.languages), np.float32), False
+
+    def word(self, word: str) -> np.ndarray:
+        return self.evidence(word)[0]
 
-    def __call__(self, texts: list[str | None], table: WordTable) -> list[tuple[str, float]]:
+    def __call__(self, texts: list[str | None], table: WordTable) -> list[tuple[str, float, bool]]:
         words = [LETTERS.findall(t.lower()) if t else [] for t in texts]
         counts = np.fromiter(map(len, words), np.int64, len(words))
         rows = table.rows([w for ws in words for w in ws])
@@ -99,19 +106,20 @@ class BackoffModel:
         for k, end in enumerate(np.cumsum(counts).tolist()):
             n = int(counts[k])
             if not n or not self.languages:
-                out.append((UNKNOWN, 0.0))
+                out.append((UNKNOWN, 0.0, False))
                 continue
-            total = rows[end - n : end].sum(axis=0, dtype=np.float64)
+            *total, recognised = rows[end - n : end].sum(axis=0, dtype=np.float64)
+            total = np.array(total)
             total *= min(n, 25) / n  # words of a text are no independent witnesses
             share = np.exp(total - total.max())
             share /= share.sum()
             best = int(np.argmax(share))
-            out.append((self.languages[best], float(share[best])))
+            out.append((self.languages[best], float(share[best]), recognised > 0))
         return out
 
 
 class WordTable:
-    """Evidence rows of the words met so far, of bounded size."""
+    """Evidence of the words met so far, of bounded size; the last column is 1 if recognised."""
 
     def __init__(self, model: BackoffModel):
         self.model = model
@@ -119,7 +127,7 @@ class WordTable:
 
     def reset(self) -> None:
         self.place: dict[str, int] = {}
-        self.found = np.zeros((1 << 16, len(self.model.languages)), np.float32)
+        self.found = np.zeros((1 << 16, len(self.model.languages) + 1), np.float32)
 
     def rows(self, words: list[str]) -> np.ndarray:
         if len(self.place) > _KNOWN_WORDS:
@@ -128,7 +136,7 @@ class WordTable:
             k = len(self.place)
             if k == len(self.found):
                 self.found = np.concatenate((self.found, np.zeros_like(self.found)))
-            self.found[k] = self.model.word(word)
+            self.found[k, :-1], self.found[k, -1] = self.model.evidence(word)
             self.place[word] = k
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         return self.found[at]
@@ -173,8 +181,9 @@ def _predict(model, key: str):
                 {
                     "doc_id": frame["doc_id"].astype("Int64").to_numpy(),
                     "digest": frame["digest"].to_numpy(),
-                    "lang_pred": [lang for lang, _ in found],
-                    "score": [score for _, score in found],
+                    "lang_pred": [lang for lang, _, _ in found],
+                    "score": [score for _, score, _ in found],
+                    "recognised": [bool(met) for _, _, met in found],
                 }
             ).astype({"doc_id": "Int64"})
 
@@ -182,14 +191,14 @@ def _predict(model, key: str):
 
 
 def identify(docs: DataFrame, model: BackoffModel) -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred, score, and a digest of the text."""
+    """Per row: doc_id, held_out, lang_pred, score, recognised, and a digest of the text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text"
     )
     found = source.mapInPandas(
         _predict(shared, f"model-{id(model)}-{shared._jbroadcast.id()}"),
-        "doc_id long, digest long, lang_pred string, score double",
+        "doc_id long, digest long, lang_pred string, score double, recognised boolean",
     )
     out = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
-    return found.select("doc_id", out, "lang_pred", "score", "digest")
+    return found.select("doc_id", out, "lang_pred", "score", "recognised", "digest")

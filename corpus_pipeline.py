@@ -19,15 +19,12 @@ from campaignlake.llm import (
 )
 from campaignlake.llm.common import materialize, ship, table, without_rows
 
-#: Four languages share a score of one; a text below this says nothing of its language.
-LEAST_LANGUAGE_SCORE = 0.3
-
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told go (no text, no letters, or no evidence)."""
+    """Documents whose language can't be told go: no letter, or no word that the model recognises."""
     ship(spark)
     found = backoff_langid.identify(docs, backoff_langid.fit(docs))
-    known = (F.col("lang_pred") != backoff_langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    known = (F.col("lang_pred") != backoff_langid.UNKNOWN) & F.col("recognised")
     return without_rows(docs, found.where(~known))
 
 

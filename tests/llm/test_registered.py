@@ -66,3 +66,15 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+@pytest.mark.parametrize("languages", [1, 2, 12])
+def test_language_stage_with_any_number_of_languages(spark, languages):
+    """Short texts of a known language stay; texts of an unknown script, without letters or null go."""
+    names = [chr(97 + k) for k in range(languages)]
+    rows = [(k, f"{n}um {n}or the", n) for k, n in enumerate(names * 20)]
+    odd = [(1000, "漢字 かな", None), (1001, "a", None), (1002, "12", None), (1003, None, None), (None, "the", None)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.keep_known_language(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {*range(len(rows)), 1001, None}

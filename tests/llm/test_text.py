@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
+import re
 import time
 import zlib
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -103,6 +106,67 @@ def test_language_edge_cases(spark):
     assert backoff_langid.identify(asked, nothing).first()["lang_pred"] == "und"
 
 
+def _plain_language(counts, languages, text):
+    """The method word by word, with dictionaries and no tables: language, score, recognised."""
+    total, met, words = [0.0] * len(languages), False, re.findall(r"[^\W\d_]+", text.lower())
+    for word in words:
+        for n in (0, 5, 4, 3, 2, 1):
+            edged = word if n == 1 else f"<{word}>"
+            parts = [word] if n == 0 else [edged[k : k + n] for k in range(len(edged) - n + 1)] or [edged]
+            known = [p for p in parts if p in counts[n]]
+            if known:
+                met = True
+                sums = [sum(row[k] for row in counts[n].values()) + 0.5 * len(counts[n]) for k in range(len(languages))]
+                row = [
+                    sum(math.log((counts[n][p][k] + 0.5) / sums[k]) for p in known) / len(known)
+                    for k in range(len(languages))
+                ]
+                total = [t + r - sum(row) / len(row) for t, r in zip(total, row)]
+                break
+    if not words:
+        return "und", 0.0, False
+    shares = [math.exp((t - max(total)) * min(len(words), 25) / len(words)) for t in total]
+    return languages[shares.index(max(shares))], max(shares) / sum(shares), met
+
+
+@pytest.mark.parametrize("languages", [1, 2, 12])
+def test_language_matches_plain_scoring(spark, languages):
+    """Against scoring by the method in plain Python, whatever the number of languages."""
+    random.seed(languages)
+    names = [f"l{k:02d}" for k in range(languages)]
+    stock = {n: ["".join(random.choices("abcdefghijklmnop", k=random.randint(1, 8))) for _ in range(30)] for n in names}
+    rows = [
+        (k, " ".join(random.choices(stock[n], k=random.randint(1, 12))), n)
+        for k, n in enumerate(names * (240 // languages))
+    ]
+    docs = spark.createDataFrame(rows, DOCS + ", lang string")
+    counts = [Counter() for _ in range(6)]
+    for doc_id, text, lang in rows:
+        if zlib.crc32(str(doc_id).encode()) % 4 == 2:
+            continue
+        for word in text.split():
+            for n in range(6):
+                edged = word if n == 1 else f"<{word}>"
+                parts = [word] if n == 0 else [edged[k : k + n] for k in range(len(edged) - n + 1)] or [edged]
+                counts[n].update((p, lang) for p in parts)
+    plain = []
+    for n, found in enumerate(counts):
+        rowed = {}
+        for (p, lang), times in found.items():
+            rowed.setdefault(p, [0] * languages)[names.index(lang)] = times
+        plain.append({p: r for p, r in rowed.items() if n or sum(r) > 1})
+    odd = [(1000, "漢字 かな"), (1001, "zzzz"), (1002, "a"), (1003, "1 2"), (1004, "abcq zzy abc"), (1005, "")]
+    asked = docs.select("doc_id", "text").union(spark.createDataFrame(odd, DOCS))
+    got = {r["doc_id"]: r for r in backoff_langid.identify(asked, backoff_langid.fit(docs, sample=10**6)).collect()}
+    assert len(got) == len(rows) + len(odd)
+    for doc_id, text in [(r[0], r[1]) for r in rows] + odd:
+        lang, score, met = _plain_language(plain, names, text)
+        row = got[doc_id]
+        assert (row["recognised"], abs(row["score"] - score) < 1e-3) == (met, True)
+        if lang != row["lang_pred"]:
+            assert score < 1 / languages + 0.3 and lang != "und"  # a tie up to rounding
+
+
 def test_backoff_falls_to_shorter_grams():
     import pandas as pd
 
