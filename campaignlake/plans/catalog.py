@@ -51,6 +51,7 @@ from campaignlake.streaming.layers import (
 )
 from campaignlake.streaming.links import LINK_SCHEMA, linkage, links_path, start_links
 from campaignlake.streaming.progress import progress_frame
+from campaignlake.streaming.replays import start_typed_lookup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -360,6 +361,16 @@ def q_stream_linkage(spark, sf_dir):
     return linkage(typed, read_table(spark, links_path(paths), schema=LINK_SCHEMA))
 
 
+def q_stream_typed_replays(spark, sf_dir):
+    """The topic in two drains, then all records of the first once more; no dedup state."""
+    paths, parts = _two_drains(spark, sf_dir)
+    for part in [*parts, parts[0]]:
+        part.write.mode("append").parquet(paths.source)
+        await_query(start_raw_stream(spark, paths, salt_buckets=_salts(spark, paths)), STREAM_TIMEOUT_SECONDS)
+        await_query(start_typed_lookup_stream(spark, paths), STREAM_TIMEOUT_SECONDS)
+    return typed_out(read_table(spark, paths.typed, TYPED_COLUMNS, schema=TYPED_SCHEMA))
+
+
 def q_stream_progress(spark, sf_dir):
     paths = _stream_paths(spark, sf_dir)
     raw_q = start_raw_stream(spark, paths, max_files_per_trigger=4, salt_buckets=_salts(spark, paths))
@@ -410,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "layer_freshness": q_layer_freshness,
     "stream_raw": q_stream_raw,
     "stream_typed": q_stream_typed,
+    "stream_typed_replays": q_stream_typed_replays,
     "stream_metrics": q_stream_metrics,
     "stream_metrics_incremental": q_stream_metrics_incremental,
     "stream_metrics_deltas": q_stream_metrics_deltas,

@@ -434,6 +434,7 @@ ORACLE_SQL: dict[str, str] = {
 }
 ORACLE_SQL["stream_raw"] = ORACLE_SQL["raw_projection"]
 ORACLE_SQL["stream_typed"] = ORACLE_SQL["typed_dedup"]
+ORACLE_SQL["stream_typed_replays"] = ORACLE_SQL["typed_dedup"]
 ORACLE_SQL["stream_metrics"] = ORACLE_SQL["campaign_metrics"]
 ORACLE_SQL["stream_metrics_incremental"] = ORACLE_SQL["campaign_metrics"]
 ORACLE_SQL["stream_metrics_two_drains"] = ORACLE_SQL["campaign_metrics"]
