@@ -63,3 +63,14 @@ def test_carry_splits_a_hot_key(spark):
     expected = ev.withColumn("prev", F.last(val, ignorenulls=True).over(plain))
     got = last_prior_values(ev, "user_id", ["ts", "event_id"], {"prev": val}, F.date_trunc("hour", F.col("ts")))
     _same(expected.select("event_id", "prev"), got.select("event_id", "prev"))
+
+
+def test_carry_of_few_hot_keys_equals_bucketed_carry(spark):
+    ev = Lake(spark, SF_SMALL).events()
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id") % 5))
+    val = F.when(F.col("event_type") == "view", F.col("event_id"))
+    asked = ("user_id", ["ts", "event_id"], {"prev": val}, F.date_trunc("hour", F.col("ts")))
+    most = ev.groupBy("user_id").count().agg(F.max("count")).first()[0]
+    want = sorted(map(str, last_prior_values(ev, *asked).collect()))
+    for hot in (10, most - 1, most):
+        assert sorted(map(str, last_prior_values(ev, *asked, hot_rows=hot).collect())) == want

@@ -98,3 +98,20 @@ def test_layer_writes_do_not_explode_file_counts(spark):
         dirs = [d for d in dirs if os.path.isdir(d)]
         files = glob.glob(os.path.join(path, *["*"] * depth, "*.parquet"))
         assert dirs and len(files) <= 2 * len(dirs), (path, len(files), len(dirs))
+
+
+def test_payloads_are_made_after_the_last_shuffle(spark):
+    from campaignlake.sources.fixtures import kafka_records
+
+    lines = plan(kafka_records(Lake(spark, SF_SMALL).events(), segments=4), mode="simple").splitlines()
+    shuffles = [k for k, line in enumerate(lines) if "Exchange" in line]
+    assert "rangepartitioning(_ts" in lines[shuffles[0]]
+    assert max(k for k, line in enumerate(lines) if "camp_" in line) < shuffles[0]
+
+
+def test_topic_and_raw_files_follow_time(spark):
+    lake = Lake(spark, SF_SMALL)
+    spans = lake.topic().groupBy(F.input_file_name()).agg(F.min("timestamp"), F.max("timestamp")).collect()
+    spans = sorted((a, b) for _, a, b in spans)
+    assert len(spans) > 1
+    assert all(end <= start for (_, end), (start, _) in zip(spans, spans[1:]))
