@@ -70,6 +70,24 @@ def test_credits_against_brute_force(spark, days, most):
     assert len(got) == len(_brute(rows, days, most))
 
 
+@pytest.mark.parametrize("hot", [0, 100, 1000])
+def test_hot_and_other_users_get_the_same_credits(spark, hot):
+    rows = _events(5)
+    got = attribution_credits(spark.createDataFrame(rows, SCHEMA).repartition(5), hot_events=hot).collect()
+    assert {(r["event_id"], r["click_id"]): (r["campaign_id"], r["credit_cents"]) for r in got} == _brute(rows)
+    assert len(got) == len(_brute(rows))
+
+
+def test_paths_are_not_shuffled(spark):
+    """Of most users, events are shuffled once: what follows, up to the sums, stays in its task."""
+    from campaignlake.operators.attribution import _credit_parts
+
+    typed = spark.createDataFrame(_events(6), SCHEMA)
+    most = _credit_parts(typed, 7, 20, 1_000_000)[0]
+    plan = most._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in line for line in plan.splitlines()) == 2  # and the count of hot users
+
+
 def test_credits_of_a_conversion_are_its_revenue(spark):
     rows = _events(8)
     got = attribution_credits(spark.createDataFrame(rows, SCHEMA)).collect()
