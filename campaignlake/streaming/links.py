@@ -9,9 +9,12 @@ it calls unlinked, still holds in its state or dropped as late are looked up in
 table. So the report equals a batch join on the same time range whatever came late, and
 the look-up reads no child that is linked already.
 
-Hot keys: a child joins in one of ``salts`` slots drawn by its own id, and a parent is
-in all of them, so the children of one parent are spread over as many state partitions.
-Rows without a reference or a time can't have a parent and stay out of the joins.
+Hot keys: references that more than ``hot_children`` children of the typed table share
+are listed when a drain starts. Their children join in one of ``salts`` slots drawn by
+their own ids, and such a parent is in all slots, so its children are spread over as many
+state partitions; all others have one slot and are stored once. A link that is missed as
+its reference became hot between two drains is looked up like those of late rows. Rows
+without a reference or a time can't have a parent and stay out of the joins.
 
 Defined results: a child's time may equal its parent's; null references, null times and
 references to another type are unlinked; an empty table gives an empty report.
@@ -25,12 +28,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from campaignlake.schemas import TYPED_COLUMNS, TYPED_SCHEMA
 from campaignlake.sinks.tables import start_stream
-from campaignlake.sources.tables import read_table_stream
+from campaignlake.sources.tables import read_table, read_table_stream
 from campaignlake.streaming.layers import LayerPaths, exact_state
 
 WINDOW = "1 day"
 DELAY = "2 hours"
 SALTS = 4
+HOT_CHILDREN = 10_000
+HOT_SCHEMA = "hot_ref string, child_type string"
 LINK_SCHEMA = "event_id string, event_type string, campaign_id string, event_timestamp timestamp, linked boolean"
 _LINK = ["event_id", "event_type", "campaign_id", "event_timestamp"]
 _STEPS = {"click": ("impression_id", "impression"), "conversion": ("click_id", "click")}
@@ -54,6 +59,22 @@ def _has_parent():
     return F.col("ref").isNotNull() & F.col("event_timestamp").isNotNull()
 
 
+def _hot_path(paths: LayerPaths) -> str:
+    return f"{links_path(paths)}_hot"
+
+
+def list_hot_references(spark: SparkSession, paths: LayerPaths, hot_children: int = HOT_CHILDREN) -> None:
+    """Write the references that more than ``hot_children`` children share."""
+    typed = read_table(spark, paths.typed, TYPED_COLUMNS, fmt=paths.fmt, schema=TYPED_SCHEMA)
+    refs = None
+    for child in _STEPS:
+        rows = _children(typed, child).where(_has_parent())
+        many = rows.groupBy(F.col("ref").alias("hot_ref")).count().where(F.col("count") > hot_children)
+        part = many.select("hot_ref", F.lit(child).alias("child_type"))
+        refs = part if refs is None else refs.unionByName(part)
+    refs.write.mode("overwrite").parquet(_hot_path(paths))
+
+
 def _in_range(window: str):
     return F.expr(
         "ref = parent_id AND event_timestamp >= parent_time"
@@ -69,17 +90,24 @@ def link_stream(
     salts: int = SALTS,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """(event_id, event_type, campaign_id, event_timestamp, linked) of clicks and conversions."""
+    """(event_id, event_type, campaign_id, event_timestamp, linked) of clicks and conversions.
+
+    :func:`list_hot_references` comes first."""
     typed = read_table_stream(
         spark, paths.typed, TYPED_SCHEMA, TYPED_COLUMNS, fmt=paths.fmt, max_files_per_trigger=max_files_per_trigger
     )
-    slots = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("parent_slot")
+    hot = read_table(spark, _hot_path(paths), schema=HOT_SCHEMA)
+    listed = F.col("hot_ref").isNotNull()
+    slot = F.when(listed, F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int")).otherwise(0).alias("slot")
+    slots = F.explode(F.sequence(F.lit(0), F.when(listed, salts - 1).otherwise(0))).alias("parent_slot")
     found = None
     for child in _STEPS:
         rows = _children(typed, child)
-        slot = F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int").alias("slot")
-        asking = rows.where(_has_parent()).select("*", slot).withWatermark("event_timestamp", delay)
-        parents = _parents(typed, child).select("*", slots).withWatermark("parent_time", delay)
+        many = F.broadcast(hot.where(F.col("child_type") == child).select("hot_ref"))
+        asking = rows.where(_has_parent()).join(many, F.col("ref") == F.col("hot_ref"), "left")
+        asking = asking.select(*_LINK, "ref", slot).withWatermark("event_timestamp", delay)
+        parents = _parents(typed, child).join(many, F.col("parent_id") == F.col("hot_ref"), "left")
+        parents = parents.select("parent_id", "parent_time", slots).withWatermark("parent_time", delay)
         joined = asking.join(parents, _in_range(window) & F.expr("slot = parent_slot"), "left_outer")
         joined = joined.select(*_LINK, F.col("parent_id").isNotNull().alias("linked"))
         alone = rows.where(~_has_parent()).select(*_LINK, F.lit(False).alias("linked"))
@@ -96,8 +124,10 @@ def start_links(
     salts: int = SALTS,
     max_files_per_trigger: int | None = None,
     state_partitions: int | None = None,
+    hot_children: int = HOT_CHILDREN,
 ) -> StreamingQuery:
     """Drain the typed table's new rows into the link table."""
+    list_hot_references(spark, paths, hot_children)
     df = link_stream(spark, paths, window, delay, salts, max_files_per_trigger)
     with exact_state(spark, state_partitions):
         return start_stream(

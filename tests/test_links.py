@@ -46,12 +46,12 @@ def _expected(events):
     return found
 
 
-def _drain(spark, paths, events):
+def _drain(spark, paths, events, **options):
     rows = [tuple(r.get(c) for c in TYPED_COLUMNS) for r in events]
     schema = [next(f for f in TYPED_SCHEMA.fields if f.name == c) for c in TYPED_COLUMNS]
     frame = spark.createDataFrame(rows, type(TYPED_SCHEMA)(schema))
     frame.coalesce(1).write.mode("append").partitionBy("event_type").parquet(paths.typed)
-    return await_query(start_links(spark, paths, state_partitions=2), 300)
+    return await_query(start_links(spark, paths, state_partitions=2, **options), 300)
 
 
 def _report(spark, paths):
@@ -71,6 +71,28 @@ def test_report_equals_a_loop_after_each_drain(spark, scratch):
     assert links.count() == links.select("event_id").distinct().count()  # no child twice
 
 
+def test_only_hot_parents_are_stored_more_than_once(spark, scratch):
+    events = [_row(f"i{k}", "impression", START + dt.timedelta(minutes=k)) for k in range(60)]
+    events += [
+        _row(f"c{k}", "click", START + dt.timedelta(minutes=60 + k), impression_id=f"i{k % 60 if k < 60 else 7}")
+        for k in range(80)
+    ]
+    stored = {}
+    for hot in (10, 1000, 0):  # i7 is hot, none is, all are
+        paths = LayerPaths.under(f"{scratch}/{hot}")
+        progress = _drain(spark, paths, events, hot_children=hot)
+        assert _report(spark, paths) == _expected(events)
+        stored[hot] = max(sum(s["numRowsTotal"] for s in p["stateOperators"]) for p in progress)
+    assert stored[1000] < stored[10] < stored[0]
+
+
+def test_references_that_become_hot_between_drains(spark, scratch):
+    paths, events = LayerPaths.under(scratch), _events(5)
+    for start, end in ((0, 120), (120, len(events))):
+        _drain(spark, paths, events[start:end], hot_children=12)
+        assert _report(spark, paths) == _expected(events[:end])
+
+
 def test_links_at_the_edges_of_the_range(spark, scratch):
     paths, day, second = LayerPaths.under(scratch), dt.timedelta(days=1), dt.timedelta(seconds=1)
     noon = START + day / 2
