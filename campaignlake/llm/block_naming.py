@@ -168,5 +168,5 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 def drop_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     groups = materialize(exact_groups(docs, block_bytes), "groups")
-    digest = F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)
-    return staying_rows(docs, groups.withColumnRenamed("text_sha256", "digest"), digest)
+    digest = F.unhex(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
+    return staying_rows(docs, groups.withColumn("digest", F.unhex("text_sha256")), digest)

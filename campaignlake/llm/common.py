@@ -34,6 +34,7 @@ _SCRATCH: list[tuple[SparkSession, str]] = []
 
 _BATCH_ROWS = 2000
 _BATCH_BYTES = 8 << 20
+_BROADCAST_REJECTED = 1_500_000
 
 
 def ship(spark: SparkSession) -> None:
@@ -109,14 +110,20 @@ def staying_rows(docs: DataFrame, decided: DataFrame, digest) -> DataFrame:
     ``decided`` has a row (doc_id, digest, kept) for each row of ``docs``; ``digest``
     is the same value as a Column over ``docs``. Rows that repeat both are one
     document, of which one row stays at most.
+
+    Up to ``_BROADCAST_REJECTED`` rejected keys go to all tasks, so that no text is
+    shuffled; where more are rejected, both sides are shuffled by key.
     """
-    kept = decided.where("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("digest").alias("__kept_digest")
+    keys = decided.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    keys = materialize(keys, "decided")
+    bad = keys.where("not kept").select(
+        F.col("doc_id").alias("__bad_id"), F.col("digest").alias("__bad_digest")
     )
-    match = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (digest == F.col("__kept_digest"))
-    staying = docs.join(kept, match, "left_semi")
-    repeated = decided.groupBy("doc_id", "digest").count().where("count > 1").limit(1)
-    if repeated.isEmpty():
+    match = F.col("doc_id").eqNullSafe(F.col("__bad_id")) & (digest == F.col("__bad_digest"))
+    if bad.count() <= _BROADCAST_REJECTED:
+        bad = F.broadcast(bad)
+    staying = docs.join(bad, match, "left_anti")
+    if keys.where("rows > 1").limit(1).isEmpty():
         return staying
     tagged = staying.withColumn("__kept_digest", digest)
     return tagged.dropDuplicates(["doc_id", "__kept_digest"]).drop("__kept_digest")

@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from campaignlake.llm import block_naming, probminhash
+from campaignlake.llm import block_naming, common, probminhash
 from campaignlake.llm.common import word_bytes
 from campaignlake.llm.components import components
 
@@ -203,3 +203,27 @@ def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 3), (5, 6), (6, 5), (7, 7)] + [(100 + k, 101 + k) for k in range(40)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 9: 1, 5: 5, 6: 5} | {100 + k: 100 for k in range(41)}
+
+
+def test_rows_that_stay_are_found_without_a_shuffle_of_texts(spark):
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(1, text, "a"), (2, text + " more", "b"), (3, "alone", "c"), (None, None, "d"), (None, text, "e")]
+    frame = spark.createDataFrame(rows, DOCS + ", label string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables too large for it
+    try:
+        for drop, want in ((probminhash.drop_near_copies, "bcd"), (block_naming.drop_copies, "abcd")):
+            kept = drop(frame)
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+            assert sorted(r["label"] for r in kept.collect()) == list(want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_that_stay_where_many_are_rejected(spark, documents, monkeypatch):
+    frame = spark.createDataFrame([(*r, 1) for r in documents], DOCS + ", name int")
+    for drop in (probminhash.drop_near_copies, block_naming.drop_copies):
+        monkeypatch.setattr(common, "_BROADCAST_REJECTED", 1_500_000)
+        want = sorted(drop(frame).collect(), key=str)
+        monkeypatch.setattr(common, "_BROADCAST_REJECTED", 0)
+        assert sorted(drop(frame).collect(), key=str) == want
